@@ -108,30 +108,34 @@ def plan_cuts(runs: list[Run], shards: int) -> tuple[list[tuple[int, int, int]],
     return [(a, b, prefix[b] - prefix[a]) for a, b in sorted(cuts)], capacity, segments, left
 
 
-def doubtful(runs: list[Run], shards: int) -> set[int]:
-    """Runs of several groups in which a cut of the exact plan may lie.
+def doubtful(runs: list[Run], shards: int) -> list[tuple[int, int]]:
+    """Intervals (first, end) of runs, at most one for each cut, in which cuts of the exact plan may lie.
 
     A capacity that is too small even if runs could be cut anywhere is a lower bound; the plan that
     cuts between runs only gives an upper bound.  Between both, the k-th cut of a segment lies
-    between the greedy fill at the lower and k shares at the upper bound.
+    between the greedy fill at the lower and k shares at the upper bound.  Intervals of single
+    groups alone need no finer sums.
     """
     prefix = [0, *accumulate(r.weight for r in runs)]
     _, high, segments, left = plan_cuts(runs, shards)
     loose = sum(prefix[b] - prefix[a] for a, b in segments)
     low = max(1, -(-loose // max(left, 1)), max((r.weight for a, b in segments for r in runs[a:b] if r.groups == 1), default=1))
     low = min(low, high)
-    found: set[int] = set()
+    found: list[tuple[int, int]] = []
     for a, b in segments:
         first = last = prefix[a]
-        for _ in range(shards):
+        while first < prefix[b] and len(found) <= 4 * shards:
             # slowest fill: a run that does not fit whole is left out whole
             i = bisect_right(prefix, first + low) - 1
-            first = prefix[min(b, max(i, a))]
+            first = max(prefix[min(b, i)], first + 1)
             last = min(prefix[b], last + high)
             lo, hi = max(a, bisect_right(prefix, first) - 1), min(b, bisect_right(prefix, last))
-            found.update(j for j in range(lo, hi) if runs[j].groups > 1)
-            if first >= prefix[b]:
-                break
+            inner = [j for j in range(lo, hi) if runs[j].groups > 1]
+            if inner:
+                if found and inner[0] < found[-1][1]:
+                    found[-1] = (min(found[-1][0], inner[0]), max(found[-1][1], inner[-1] + 1))
+                else:
+                    found.append((inner[0], inner[-1] + 1))
     return found
 
 
@@ -159,17 +163,12 @@ def minimax_cuts(groups: DataFrame, n_shards: int = 8, first_bits: int = 14, ste
     runs = fetch(groups, shift)
     while shift > 0 and (open_ := doubtful(runs, n_shards)):
         shift = max(0, shift - step_bits)
-        ranges: list[list[int]] = []
-        for i in sorted(open_):
-            if ranges and ranges[-1][2] == i - 1:
-                ranges[-1][1:] = [runs[i].hi, i]
-            else:
-                ranges.append([runs[i].lo, runs[i].hi, i])
         where = F.lit(False)
-        for lo, hi, _ in ranges:
-            where = where | ((F.col("gkey") >= lo) & (F.col("gkey") < hi))
-        finer = [r for r in fetch(groups.where(where), shift)]
-        runs = sorted([r for i, r in enumerate(runs) if i not in open_] + finer, key=lambda r: r.lo)
+        for a, b in open_:
+            where = where | ((F.col("gkey") >= runs[a].lo) & (F.col("gkey") < runs[b - 1].hi))
+        inside = {i for a, b in open_ for i in range(a, b)}
+        kept = [r for i, r in enumerate(runs) if i not in inside]
+        runs = sorted(kept + fetch(groups.where(where), shift), key=lambda r: r.lo)
     shards, *_ = plan_cuts(runs, n_shards)
     return [runs[a].lo for a, _, _ in shards[1:]]
 

@@ -4,7 +4,8 @@ A logistic model over the distinct words of a text; a word's features are hashed
 with its bounds and the word itself.  For labelled sentences, identity terms are swapped (or, where a
 sentence names none, a neutral mention is put in), and the squared change of the score is a penalty,
 so the mention of a group by itself moves no score.  The model is fitted on at most ``sample_rows``
-labelled documents and calibrated on every fifth of them.
+labelled documents and calibrated on every fifth of them.  Features whose presence does not go with
+the label beyond chance are left out, and of near-equal training documents one counts.
 """
 
 from __future__ import annotations
@@ -21,9 +22,12 @@ from pyspark.sql import functions as F
 from .common import prepare, texts_of
 from .features import Bytes, Rows, fit_logistic, labelled_sample, mixed, platt, sigmoid, sums
 
-BITS = 18
-SAMPLE_ROWS = 6000
-ORDERS = (3, 4, 5, 6)
+BITS = 20
+SAMPLE_ROWS = 8000
+ORDERS = (3, 4, 5, 6, 7)
+#: A feature takes part when its presence goes with the label beyond chance: likelihood-ratio statistic
+#: of at least this, over this many documents.
+LEAST_G2, LEAST_DOCS = 12.0, 4
 TOXIC_FROM = 0.3
 #: Identity terms by group; terms of a group are exchanged for each other.
 IDENTITY = (
@@ -102,18 +106,54 @@ def counterfactuals(sets: list[set[str]], seed: int = 7) -> list[tuple[set[str],
     return out
 
 
+def word_hashes(words: list[str]) -> np.ndarray:
+    batch = Bytes([w.encode() for w in words])
+    return batch.hashes(batch.starts, batch.ends)
+
+
+def telling(grams: Rows, ids: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Which features' presence in a document goes with the label: by the likelihood-ratio statistic."""
+    seen = np.zeros((2, grams.width))
+    for words, label in zip(ids, y):
+        if len(words):
+            cols = np.concatenate([grams.cols[grams.starts[i] : grams.starts[i + 1]] for i in words.tolist()])
+            seen[int(label), np.unique(cols)] += 1
+    n = np.array([(y == 0).sum(), (y == 1).sum()], float)[:, None]
+    total, rate = seen.sum(0), seen.sum(0) / n.sum()
+    g2 = np.zeros(grams.width)
+    for have, expected in ((seen, n * rate), (n - seen, n * (1 - rate))):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            g2 += 2 * np.where(have > 0, have * np.log(have / expected), 0).sum(0)
+    return (g2 >= LEAST_G2) & (total >= LEAST_DOCS)
+
+
+def restricted(rows: Rows, keep: np.ndarray) -> Rows:
+    """The matrix with only the columns to keep."""
+    taken = keep[rows.cols]
+    return Rows(np.concatenate([[0], np.cumsum(taken)])[rows.starts], rows.cols[taken], None, rows.width)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, where: Column | None = None, penalty: float = 1.0, steps: int = 60) -> ToxicityModel:
     """Fit on labelled rows (those that ``where`` lets through, a condition on labels' columns)."""
     texts, y = labelled_sample(docs, labels, "toxic", sample_rows, where)
     if len(y) < 10 or not 0 < y.sum() < len(y):
         return ToxicityModel(np.zeros(1 << BITS), -3.0)
+    sets = [words_of(t) for t in texts]
+    # near-equal documents have the same few smallest word hashes
+    marks = [tuple(np.sort(word_hashes(sorted(s)))[:4].tolist()) for s in sets]
+    first = np.array(sorted({m: i for i, m in reversed(list(enumerate(marks)))}.values()))
+    texts, sets, y = [texts[i] for i in first], [sets[i] for i in first], y[first]
     fold = np.arange(len(y)) % 5 == 4
-    sets = [words_of(t) for t, f in zip(texts, fold) if not f]
+    if not 0 < y[~fold].sum() < len(y[~fold]):
+        return ToxicityModel(np.zeros(1 << BITS), -3.0)
+    held = [t for t, f in zip(texts, fold) if f]
+    sets = [s for s, f in zip(sets, fold) if not f]
     pairs = counterfactuals(sets)
     vocabulary = sorted(set().union(*sets, *(b for _, b in pairs)))
     index = {w: i for i, w in enumerate(vocabulary)}
     grams = word_rows(vocabulary)
     ids = [np.array(sorted(index[w] for w in s), np.int32) for s in sets]
+    grams = restricted(grams, telling(grams, ids, y[~fold]))
     rows = Rows(np.cumsum([0, *map(len, ids)]), np.concatenate([*ids, np.zeros(0, np.int32)]), None, len(vocabulary))
     changes = [(np.array([index[w] for w in a ^ b], np.int32), np.array([1.0 if w in b else -1.0 for w in a ^ b])) for a, b in pairs]
     change = Rows(np.cumsum([0, *(len(c) for c, _ in changes)]), np.concatenate([c for c, _ in changes]), np.concatenate([v for _, v in changes]), len(vocabulary))
@@ -121,9 +161,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     def unfair(w: np.ndarray) -> np.ndarray:
         return penalty * grams.back(change.back(change.dot(grams.dot(w)) / len(pairs)))
 
-    w, b = fit_logistic(lambda w: rows.dot(grams.dot(w)), lambda r: grams.back(rows.back(r)), grams.width, y[~fold], 3e-5, steps, 0.02, unfair)
-    model = ToxicityModel(w, b)
-    model.scale, model.shift = platt(model.logits([t for t, f in zip(texts, fold) if f]), y[fold])
+    w, b = fit_logistic(lambda w: rows.dot(grams.dot(w)), lambda r: grams.back(rows.back(r)), grams.width, y[~fold], 1e-4, steps, 0.05, unfair)
+    model = ToxicityModel(w.astype(np.float32), b)
+    model.scale, model.shift = platt(model.logits(held), y[fold])
     model.known = {}
     return model
 

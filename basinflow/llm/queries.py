@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, packing, pii, quality, sharding, toxicity, warc
+from . import ann, jaccard, packing, pii, quality, sharding, toxicity, warc
 from .common import shared_dir, table
 
 
@@ -46,8 +46,12 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(spark, path)
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op6_toxicity, op7_nearest, op9_warc)}
+    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op6_toxicity, op7_nearest, op9_warc, op10_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, jaccard, packing, pii, quality, sharding, toxicity, warc
+from . import ann, jaccard, packing, pii, quality, sharding, suffix_dedup, toxicity, warc
 from .common import shared_dir, table
 
 
@@ -32,6 +32,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,7 +55,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op6_toxicity, op7_nearest, op9_warc, op10_jaccard)}
+    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op5_repeats, op6_toxicity, op7_nearest, op9_warc, op10_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -48,8 +48,12 @@ def words_of(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
 
-def word_rows(words: list[str]) -> Rows:
+def word_rows(words: list[str], chunk: int = 32_768) -> Rows:
     """Features of each word: the hashed n-grams of the bounded word, and the whole word."""
+    if len(words) > chunk:  # bounds the memory for intermediate arrays
+        parts = [word_rows(words[i : i + chunk]) for i in range(0, len(words), chunk)]
+        sizes = np.concatenate([np.diff(p.starts) for p in parts])
+        return Rows(np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([p.cols for p in parts]), None, 1 << BITS)
     batch = Bytes([b"\x02" + w.encode() + b"\x03" for w in words])
     shift = np.uint64(64 - BITS)
     sizes = batch.ends - batch.starts

@@ -4,8 +4,9 @@ A document's set is that of the hashes of its shingles; documents with equal set
 classes are joined.  Two exact filters come first.
 
 1. A set with a partner misses at most D of its own shingles there.  Of the first D + L shingles in
-   hash order at least L must then occur in another document, which rules out nearly all documents
-   without a partner.  Map tasks resolve what their own batch shares and send each shingle once.
+   hash order at least L must then occur in another document of about the same size, which rules out
+   nearly all documents without a partner.  Map tasks resolve what their own batch shares and send
+   each shingle once for each size class.
 2. Among the sets left, shingles are put in order of document frequency, and sets that can be linked
    share one of their first D + 1.  Sets that share such a shingle, directly or over others, form a
    candidate component; components of links lie inside these.
@@ -35,6 +36,8 @@ from .features import Bytes, mixed
 
 #: Sets of one task of the join; larger candidate components are joined in pairs of blocks.
 TASK_SETS = 4000
+#: Sampled shingles that a task of the first filter takes, about.
+TASK_SHINGLES = 3_000_000
 #: Text hashes of documents to read again that are broadcast (8 bytes each); beyond it they are joined by shuffle.
 BROADCAST_TEXTS = 1_000_000
 MANY = 65535
@@ -84,15 +87,20 @@ def most_missing(n, percent: int):
     return n - (percent * n + 99) // 100
 
 
+def size_class(n: np.ndarray, percent: int) -> np.ndarray:
+    """Linked sets are in the same or in neighbouring classes: a class spans a factor of 100 / percent and a little more."""
+    return np.floor(np.log(np.maximum(n, 1)) / (np.log(100 / percent) + 1e-9) if percent < 100 else n).astype(np.int64) % 65_536
+
+
 def first_pass(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     """A row for each document, and rows that send its batch's sampled shingles to buckets.
 
     Documents: th (hash of the text), cls, n, batch, ref (its number in the batch), known (sampled
-    shingles that the batch shares), needed.  Shingles: bucket, batch, toks (8 bytes each), refs (2
-    bytes each; 65535: several documents of the batch).
+    shingles that the batch shares), needed.  Shingles: bucket, batch, toks (8 bytes each), classes (2
+    bytes each), refs (2 bytes each; 65535: several documents of the batch).
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "th", "cls", "n", "batch", "ref", "known", "needed", "bucket", "toks", "refs"]
+    names = ["doc_id", "th", "cls", "n", "batch", "ref", "known", "needed", "bucket", "toks", "classes", "refs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -104,45 +112,50 @@ def first_pass(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame
             doc = np.repeat(np.arange(len(n)), n)
             take = np.arange(len(toks)) - starts[:-1][doc] < sampled[doc]
             tok, doc = toks[take], doc[take]
-            unique, at, inverse, count = np.unique(tok, return_index=True, return_inverse=True, return_counts=True)
-            known = np.bincount(doc, count[inverse] > 1, len(n)).astype(np.int32)
+            classes = size_class(n, percent)[doc]
+            order = np.lexsort((classes, tok))
+            tok, doc, classes = tok[order], doc[order], classes[order]
+            at = np.flatnonzero(np.concatenate([[True], (tok[1:] != tok[:-1]) | (classes[1:] != classes[:-1])])) if len(tok) else np.zeros(0, int)
+            count = np.diff(np.append(at, len(tok)))
+            known = np.bincount(doc, np.repeat(count, count) > 1, len(n)).astype(np.int32)
+            unique, classes = tok[at], classes[at].astype(np.uint16)
             cls = pa.array([class_of(toks[starts[i] : starts[i + 1]]) if n[i] else None for i in range(len(n))], pa.int64())
             size = len(n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), cls, pa.array(n.astype(np.int32)), pa.array(np.full(size, number)), pa.array(np.arange(size, dtype=np.int32)), pa.array(known), pa.array((sampled - missing).astype(np.int32)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary())],
+                [b.column(0), b.column(2), cls, pa.array(n.astype(np.int32)), pa.array(np.full(size, number)), pa.array(np.arange(size, dtype=np.int32)), pa.array(known), pa.array((sampled - missing).astype(np.int32)), pa.nulls(size, pa.int32()), *[pa.nulls(size, pa.binary())] * 3],
                 names,
             )
             bucket = ((unique >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             refs = np.where(count == 1, doc[at], MANY).astype(np.uint16)[order]
-            unique, bucket = unique[order], bucket[order]
+            unique, bucket, classes = unique[order], bucket[order], classes[order]
             edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
             if len(unique):
                 parts = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
                 size = len(parts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(size, b.column(0).type), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int32()), pa.array(np.full(size, number)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.array(bucket[edges[:-1]]), pa.array([unique[s:e].tobytes() for s, e in parts], pa.binary()), pa.array([refs[s:e].tobytes() for s, e in parts], pa.binary())],
+                    [pa.nulls(size, b.column(0).type), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int32()), pa.array(np.full(size, number)), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.nulls(size, pa.int32()), pa.array(bucket[edges[:-1]]), *(pa.array([x[s:e].tobytes() for s, e in parts], pa.binary()) for x in (unique, classes, refs))],
                     names,
                 )
             number += 1
 
-    return docs.mapInArrow(run, f"doc_id {kind}, th long, cls long, n int, batch long, ref int, known int, needed int, bucket int, toks binary, refs binary")
+    return docs.mapInArrow(run, f"doc_id {kind}, th long, cls long, n int, batch long, ref int, known int, needed int, bucket int, toks binary, classes binary, refs binary")
 
 
 def shared_in_bucket(rows: pa.Table) -> pa.Table:
-    """How many of each document's shingles in this bucket occur in other batches: batch, ref, hits."""
+    """How many of each document's shingles here occur in other batches at about its size: batch, ref, hits."""
     toks = [np.frombuffer(x, np.uint64) for x in rows.column("toks").to_pylist()]
-    refs = np.concatenate([np.frombuffer(x, np.uint16) for x in rows.column("refs").to_pylist()])
-    source = np.repeat(np.arange(len(toks)), [len(x) for x in toks])
+    classes, refs = (np.concatenate([np.frombuffer(x, np.uint16) for x in rows.column(c).to_pylist()]) for c in ("classes", "refs"))
+    source = np.repeat(np.arange(len(toks), dtype=np.int32), [len(x) for x in toks])
     tok = np.concatenate(toks)
-    order = np.argsort(tok, kind="stable")
-    tok, refs, source = tok[order], refs[order], source[order]
-    same = tok[1:] == tok[:-1]
+    order = np.lexsort((classes, tok))
+    tok, classes, refs, source = tok[order], classes[order].astype(np.int32), refs[order], source[order]
+    near = (tok[1:] == tok[:-1]) & (classes[1:] - classes[:-1] <= 1)
     shared = np.zeros(len(tok), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
+    shared[1:] |= near
+    shared[:-1] |= near
     keep = shared & (refs != MANY)
-    pair, hits = np.unique(source[keep] * 65536 + refs[keep], return_counts=True)
+    pair, hits = np.unique(source[keep].astype(np.int64) * 65536 + refs[keep], return_counts=True)
     batch = rows.column("batch").to_numpy()
     return pa.table({"batch": pa.array(batch[pair // 65536], pa.int64()), "ref": pa.array((pair % 65536).astype(np.int32)), "hits": pa.array(hits.astype(np.int32))})
 
@@ -268,22 +281,18 @@ def join_block(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, task_sets: int = TASK_SETS) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id that links reach).
-
-    Two documents link when 100 * shared >= percent * all distinct shingles.  A text without words, or
-    null, has no shingle, links with nothing and is its own component.  Equal documents link.  Rows
-    with the same id are documents of their own.  A null id sorts after all others.  Shingles and
-    sets are told apart by 64-bit hashes.  Other columns are ignored.
-    """
+def linked_documents(docs: DataFrame, k: int, percent: int, task_sets: int = TASK_SETS) -> DataFrame:
+    """Per row of ``docs``: doc_id, th, n, grp (the component; null without shingles) and component_id."""
     spark = docs.sparkSession
     prepare(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("th"))
-    buckets = max(8, rows.rdd.getNumPartitions())
+    buckets = 4 * max(8, rows.rdd.getNumPartitions())
     first = cut(first_pass(rows, k, percent, buckets), "first")
     sets = first.where(F.col("bucket").isNull()).select("doc_id", "th", "cls", "n", "batch", "ref", "known", "needed")
-    hits = first.where(F.col("bucket").isNotNull()).select("bucket", "batch", "toks", "refs").groupBy("bucket").applyInArrow(shared_in_bucket, "batch long, ref int, hits int")
+    sent = first.where(F.col("bucket").isNotNull()).select("bucket", "batch", "toks", "classes", "refs")
+    tasks = int((sent.agg(F.sum(F.octet_length("toks"))).first()[0] or 0) // (8 * TASK_SHINGLES)) + 1
+    hits = sent.withColumn("task", F.col("bucket") % tasks).groupBy("task").applyInArrow(shared_in_bucket, "batch long, ref int, hits int")
     hits = hits.groupBy("batch", "ref").agg(F.sum("hits").alias("hits"))
     able = sets.where("cls IS NOT NULL").join(hits, ["batch", "ref"], "left").where(F.coalesce("hits", F.lit(0)) + F.col("known") >= F.col("needed"))
     # one text stands for a class
@@ -318,5 +327,35 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, task_sets
     smallest = sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     grouped = smallest.join(labels.withColumnRenamed("node", "cls"), "cls", "left").where("root IS NOT NULL OR copies > 1").withColumn("root", F.coalesce("root", "cls"))
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(ids, "root").select("cls", "component_id")
-    return sets.join(named, "cls", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = grouped.join(ids, "root").select("cls", "root", "component_id")
+    return sets.join(named, "cls", "left").select("doc_id", "th", "n", F.coalesce("root", "cls").alias("grp"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, task_sets: int = TASK_SETS) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id that links reach).
+
+    Two documents link when 100 * shared >= percent * all distinct shingles.  A text without words, or
+    null, has no shingle, links with nothing and is its own component.  Equal documents link.  Rows
+    with the same id are documents of their own.  A null id sorts after all others.  Shingles and
+    sets are told apart by 64-bit hashes.  Other columns are ignored.
+    """
+    return linked_documents(docs, k, percent, task_sets).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, task_sets: int = TASK_SETS) -> DataFrame:
+    """``docs`` with one row of each component of near copies, that with the smallest doc_id; all columns stay.
+
+    Rows without words stay.  Of rows with the same id and text one stays.
+    """
+    rows = cut(linked_documents(docs, k, percent, task_sets).where("grp IS NOT NULL").select("grp", "doc_id", "th"), "rows")
+    groups = rows.groupBy("grp").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.count("*").alias("n")).where("n > 1").select("grp", "one")
+    members = rows.join(groups, "grp").withColumn("is_one", F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("th") == F.col("one.th")))
+    gone = cut(members.groupBy("doc_id", "th").agg(F.max("is_one").alias("is_one"), F.count("*").alias("n")).where("NOT is_one OR n > 1"), "gone")
+    few = gone.count() <= BROADCAST_TEXTS
+    small = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+    pairs = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
+    marked = docs.withColumn("th", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    once = gone.where("is_one")
+    rest = marked.join(small(gone), pairs(marked, gone), "left_anti")
+    back = marked.join(small(once), pairs(marked, once), "left_semi").dropDuplicates(["doc_id", "th"])
+    return rest.unionByName(back).select(*docs.columns)

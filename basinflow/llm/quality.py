@@ -188,6 +188,24 @@ def score_quality(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_
     return rows.mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of ``docs(doc_id, text, ...)`` that :func:`quality_rules` keeps, with all their columns."""
+    prepare(docs.sparkSession)
+    send = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, sample_rows))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = send.value
+        for b in batches:
+            batch = Bytes([(t or "").encode() for t in b.column(at).to_pylist()])
+            words = batch.words()
+            n = words[2] - words[1]
+            failed = (n < MIN_WORDS) | (100 * repeated_words(*words) > MAX_REPEAT_PERCENT * n)
+            yield b.filter(pa.array(~failed & (model.probabilities(batch, words) >= keep_from)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
     """Fit on labelled rows of ``docs`` and score all of them."""
     return score_quality(docs, fit_quality(docs, labels, sample_rows), keep_from)

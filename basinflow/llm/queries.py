@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, jaccard, packing, pii, quality, sharding, suffix_dedup, toxicity, warc
+from . import ann, jaccard, packing, piece_scan, pii, quality, sharding, suffix_dedup, toxicity, warc
 from .common import shared_dir, table
 
 
@@ -44,6 +44,13 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_scan.encoding_digest(piece_scan.encode_documents(table(spark, sf_dir, "documents"), path), path)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/archive"
     warc.write_archive(table(spark, sf_dir, "pages"), path)
@@ -55,7 +62,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op5_repeats, op6_toxicity, op7_nearest, op9_warc, op10_jaccard)}
+    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op5_repeats, op6_toxicity, op7_nearest, op8_pieces, op9_warc, op10_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:

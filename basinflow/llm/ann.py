@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, prepare
+from .common import cut, prepare, tidy
 
 EPSILON = 3.0
 SEED = 5
@@ -72,7 +72,7 @@ def build_index(vectors: DataFrame) -> DataFrame:
                 )
 
     prepare(vectors.sparkSession)
-    return usable(vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))).mapInArrow(run, CODE.format(id=kind))
+    return usable(vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))).mapInArrow(tidy(run), CODE.format(id=kind))
 
 
 def scan(k: int):
@@ -105,7 +105,7 @@ def scan(k: int):
                 hopeful = (estimate + bound >= reach) & ~own_row
                 for j in range(len(q)):
                     rows = np.flatnonzero(hopeful[:, j])
-                    score = (vectors[rows] * q[j]).sum(1)
+                    score = np.cumsum(vectors[rows] * q[j], axis=1)[:, -1]  # one order of summation for all
                     best = np.lexsort((ids[rows], -score))[:k]
                     best = best[score[best] >= least[at + j]]
                     out.append((np.full(len(best), q_ids[at + j]), ids[rows][best], score[best]))

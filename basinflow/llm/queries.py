@@ -65,5 +65,39 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op5_repeats, op6_toxicity, op7_nearest, op8_pieces, op9_warc, op10_jaccard)}
 
 
+NEAREST = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+ AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e) AS score FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM pairs)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+BASE32_SQL = " || ".join(
+    f"substr('{warc.BASE32}', ((('0x' || substr(h, {1 + 5 * i}, 5))::INT >> {s}) & 31) + 1, 1)" for i in range(8) for s in (15, 10, 5, 0)
+)
+WARC = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, strlen(body) AS payload_bytes, {BASE32_SQL} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id <> first THEN first END AS refers_to FROM p"""
+
+JACCARD = """WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM words UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON l.u = r.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, m.component_id FROM words d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)"""
+
+
+#: All windows of 400 bytes, as 800 hex digits; whole tables of a few MB take it.
+REPEATS = """WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT r, p, md5(substr(h, 2 * p + 1, 800)) AS k FROM (SELECT r, h, unnest(range(n - 399)) AS p FROM d)),
+dup AS (SELECT r, p FROM w JOIN (SELECT k FROM w GROUP BY k HAVING count(*) > 1) USING (k)),
+marked AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 400 THEN 0 ELSE 1 END AS new FROM dup),
+runs AS (SELECT r, min(p) AS s, max(p) + 400 AS e FROM (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS g FROM marked) GROUP BY r, g),
+gaps AS (SELECT r, lag(e, 1, 0) OVER (PARTITION BY r ORDER BY s) AS a, s AS b FROM runs UNION ALL SELECT d.r, coalesce(max(e), 0), any_value(n) FROM d LEFT JOIN runs USING (r) GROUP BY d.r),
+kept AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS t FROM gaps JOIN d USING (r) GROUP BY r),
+sums AS (SELECT r, sum(e - s)::BIGINT AS removed, count(*) AS n FROM runs GROUP BY r)
+SELECT doc_id, d.n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(sums.n, 0) AS n_spans, sha256(unhex(t)) AS kept_sha256 FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_repeats": REPEATS, "op7_nearest": NEAREST, "op9_warc": WARC, "op10_jaccard": JACCARD}

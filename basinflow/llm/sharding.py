@@ -78,34 +78,35 @@ def smallest_capacity(prefix: list[int], segments: list[tuple[int, int]], shards
     return lo
 
 
-def plan_cuts(runs: list[Run], shards: int) -> tuple[list[tuple[int, int, int]], int, list[tuple[int, int]], int]:
-    """(shards as (first run, end run, weight), capacity, segments, shards left) of the minimax plan.
+def plan_cuts(runs: list[Run], shards: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
+    """(shards as (first run, end run, weight), segments as (first run, end run, shards, capacity)) of the minimax plan.
 
-    While the binding shard is one run of one group, that run becomes a shard of its own.
+    While the binding shard is one run of one group, that run becomes a shard of its own.  With the
+    shards that a segment gets at the common capacity, it is cut at its own smallest capacity.
     """
     prefix = [0, *accumulate(r.weight for r in runs)]
-    segments, left, alone = [(0, len(runs))], shards, []
-    while True:
-        segments = [s for s in segments if s[0] < s[1]]
-        if not segments or left < 1:
-            capacity = 1
+    open_, left, cuts = [(0, len(runs))] * bool(runs), shards, []
+    capacity = 1
+    while open_:
+        capacity = smallest_capacity(prefix, open_, left, 0)
+        rest = sum(prefix[b] - prefix[a] for a, b in open_)
+        heavy = next((i for a, b in open_ for i in range(a, b) if runs[i].weight == capacity and runs[i].groups == 1 and b - a > 1), None)
+        if heavy is None or capacity * left <= rest + rest // 64:
             break
-        capacity = smallest_capacity(prefix, segments, left, 0)
-        heavy = next((i for a, b in segments for i in range(a, b) if runs[i].weight == capacity and runs[i].groups == 1 and b - a > 1), None)
-        rest = sum(prefix[b] - prefix[a] for a, b in segments)
-        if heavy is None or left < 2 + (len(segments) > 1) or capacity * left <= rest + rest // 64:
+        trial = [p for a, b in open_ for p in ([(a, heavy), (heavy + 1, b)] if a <= heavy < b else [(a, b)]) if p[0] < p[1]]
+        if len(trial) > left - 1:
             break
-        trial = [p for a, b in segments for p in ([(a, heavy), (heavy + 1, b)] if a <= heavy < b else [(a, b)])]
-        if sum(a < b for a, b in trial) > left - 1:
-            break
-        alone.append((heavy, heavy + 1))
-        segments, left = trial, left - 1
-    cuts = list(alone)
-    for start, end in segments:
-        for stop in fill(prefix, start, end, capacity):
+        cuts.append((heavy, heavy + 1))
+        open_, left = trial, left - 1
+    segments = []
+    for start, end in open_:
+        k = len(fill(prefix, start, end, capacity))
+        own = smallest_capacity(prefix, [(start, end)], k, 0)
+        segments.append((start, end, k, own))
+        for stop in fill(prefix, start, end, own):
             cuts.append((start, stop))
             start = stop
-    return [(a, b, prefix[b] - prefix[a]) for a, b in sorted(cuts)], capacity, segments, left
+    return [(a, b, prefix[b] - prefix[a]) for a, b in sorted(cuts)], segments
 
 
 def doubtful(runs: list[Run], shards: int) -> list[tuple[int, int]]:
@@ -117,12 +118,10 @@ def doubtful(runs: list[Run], shards: int) -> list[tuple[int, int]]:
     groups alone need no finer sums.
     """
     prefix = [0, *accumulate(r.weight for r in runs)]
-    _, high, segments, left = plan_cuts(runs, shards)
-    loose = sum(prefix[b] - prefix[a] for a, b in segments)
-    low = max(1, -(-loose // max(left, 1)), max((r.weight for a, b in segments for r in runs[a:b] if r.groups == 1), default=1))
-    low = min(low, high)
     found: list[tuple[int, int]] = []
-    for a, b in segments:
+    for a, b, k, high in plan_cuts(runs, shards)[1]:
+        low = max(-(-(prefix[b] - prefix[a]) // k), max((r.weight for r in runs[a:b] if r.groups == 1), default=1))
+        low = min(low, high)
         first = last = prefix[a]
         while first < prefix[b] and len(found) <= 4 * shards:
             # slowest fill: a run that does not fit whole is left out whole
@@ -169,7 +168,7 @@ def minimax_cuts(groups: DataFrame, n_shards: int = 8, first_bits: int = 14, ste
         inside = {i for a, b in open_ for i in range(a, b)}
         kept = [r for i, r in enumerate(runs) if i not in inside]
         runs = sorted(kept + fetch(groups.where(where), shift), key=lambda r: r.lo)
-    shards, *_ = plan_cuts(runs, n_shards)
+    shards, _ = plan_cuts(runs, n_shards)
     return [runs[a].lo for a, _, _ in shards[1:]]
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Arrow batches are bounded in rows and in bytes, so that a few very long texts do not fill a worker.
-BATCH_ROWS = 2048
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1024
+BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -18,6 +21,24 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Give freed memory back: Python workers live on between tasks, and their memory is the executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function of a mapInArrow, followed by :func:`release`."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the one that the cluster names in ``spark.checkpoint.dir``.
 

@@ -68,6 +68,17 @@ class Bytes:
         return self.hashes(starts, ends), np.searchsorted(starts, self.starts), np.searchsorted(starts, self.ends)
 
 
+def slices(texts: list[bytes], limit: int = 1 << 20) -> list[tuple[int, int]]:
+    """Ranges of texts of about ``limit`` bytes each: arrays over their bytes stay small whatever a batch holds."""
+    out, start, size = [], 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) + 1
+        if size >= limit:
+            out.append((start, i + 1))
+            start, size = i + 1, 0
+    return out + [(start, len(texts))] * (start < len(texts))
+
+
 def sums(values: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray:
     """Sums of values[first:after] for each range, in double precision."""
     total = np.zeros(len(values) + 1)
@@ -76,10 +87,6 @@ def sums(values: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray
     return total[after] - total[first]
 
 
-def sigmoid(z: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-
-
 @dataclass
 class Rows:
     """A sparse matrix by rows; ``values`` None: ones."""
@@ -89,13 +96,32 @@ class Rows:
     values: np.ndarray | None
     width: int
 
+    def chunks(self, size: int = 1 << 20):
+        """Ranges of rows with about ``size`` entries each, which bounds the memory for products."""
+        first = 0
+        while first < len(self.starts) - 1:
+            after = max(first + 1, int(np.searchsorted(self.starts, self.starts[first] + size, "right")) - 1)
+            yield first, after, slice(self.starts[first], self.starts[after])
+            first = after
+
     def dot(self, w: np.ndarray) -> np.ndarray:
-        got = w[self.cols] if self.values is None else w[self.cols] * self.values
-        return sums(got, self.starts[:-1], self.starts[1:])
+        out = np.zeros(len(self.starts) - 1)
+        for a, b, part in self.chunks():
+            got = w[self.cols[part]] if self.values is None else w[self.cols[part]] * self.values[part]
+            at = self.starts[a : b + 1] - self.starts[a]
+            out[a:b] = sums(got, at[:-1], at[1:])
+        return out
 
     def back(self, r: np.ndarray) -> np.ndarray:
-        each = np.repeat(r, np.diff(self.starts))
-        return np.bincount(self.cols, each if self.values is None else each * self.values, self.width)
+        out = np.zeros(self.width)
+        for a, b, part in self.chunks():
+            each = np.repeat(r[a:b], np.diff(self.starts[a : b + 1]))
+            out += np.bincount(self.cols[part], each if self.values is None else each * self.values[part], self.width)
+        return out
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
 def fit_logistic(dot, back, width: int, y: np.ndarray, l2: float, steps: int, rate: float, extra=None) -> tuple[np.ndarray, float]:

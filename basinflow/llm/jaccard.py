@@ -30,16 +30,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare
+from .common import cut, prepare, tidy
 from .components import connected_components
-from .features import Bytes, mixed
+from .features import Bytes, mixed, slices
 
 #: Sets of one task of the join; larger candidate components are joined in pairs of blocks.
 TASK_SETS = 4000
 #: Sampled shingles that a task of the first filter takes, about.
-TASK_SHINGLES = 3_000_000
+TASK_SHINGLES = 1_000_000
 #: Text hashes of documents to read again that are broadcast (8 bytes each); beyond it they are joined by shuffle.
 BROADCAST_TEXTS = 1_000_000
+#: The name of an own column beside those of a caller's table.
+OWN_TH = "__jaccard_th"
 MANY = 65535
 TIMES = np.uint64(0xD6E8FEB86659FD93)
 
@@ -50,7 +52,14 @@ def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     A-Z are lower-cased; words are separated by space and \\t\\n\\v\\f\\r.  A text with fewer than k
     words has one shingle, its whole word sequence; one without words has none.
     """
-    batch = Bytes([t.encode().lower() for t in texts])
+    raw = [t.encode().lower() for t in texts]
+    parts = [hashed_shingles(raw[a:b], k) for a, b in slices(raw)]
+    counts = np.concatenate([np.zeros(1, np.int64), *(np.diff(starts) for starts, _ in parts)])
+    return np.cumsum(counts), np.concatenate([np.zeros(0, np.uint64), *(h for _, h in parts)])
+
+
+def hashed_shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
+    batch = Bytes(texts)
     words, first, after = batch.words()
     counts = after - first
     n = max(len(words) - k + 1, 0)
@@ -139,7 +148,7 @@ def first_pass(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame
                 )
             number += 1
 
-    return docs.mapInArrow(run, f"doc_id {kind}, th long, cls long, n int, batch long, ref int, known int, needed int, bucket int, toks binary, classes binary, refs binary")
+    return docs.mapInArrow(tidy(run), f"doc_id {kind}, th long, cls long, n int, batch long, ref int, known int, needed int, bucket int, toks binary, classes binary, refs binary")
 
 
 def shared_in_bucket(rows: pa.Table) -> pa.Table:
@@ -308,14 +317,15 @@ def linked_documents(docs: DataFrame, k: int, percent: int, task_sets: int = TAS
             cls = [class_of(toks[s:e]) if e > s else None for s, e in zip(starts[:-1], starts[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(np.diff(starts).astype(np.int32)), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(toks.view(np.int64)))], ["cls", "n", "toks"])
 
-    whole = cut(texts.mapInArrow(full, "cls long, n int, toks array<long>").where("cls IS NOT NULL").dropDuplicates(["cls"]), "sets")
+    whole = cut(texts.mapInArrow(tidy(full), "cls long, n int, toks array<long>").where("cls IS NOT NULL").dropDuplicates(["cls"]), "sets")
     each = whole.select("cls", "n", F.explode("toks").alias("tok"))
-    frequent = each.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1")
+    # written first: a join with a written table can be split where one key is hot
+    frequent = cut(each.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1"), "frequent")
     ordered = each.join(frequent, "tok").groupBy("cls", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "tok"))), lambda x: x["tok"]).alias("toks"))
     prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100).cast("int") + 1 - (F.col("n") - F.size("toks"))
     ordered = cut(ordered.withColumn("prefix", prefix).where("prefix > 0"), "ordered")
     heads = ordered.select("cls", F.explode(F.slice("toks", F.lit(1), F.col("prefix"))).alias("tok"))
-    leaders = heads.groupBy("tok").agg(F.min("cls").alias("v"), F.count("*").alias("m")).where("m > 1").select("tok", "v")
+    leaders = cut(heads.groupBy("tok").agg(F.min("cls").alias("v"), F.count("*").alias("m")).where("m > 1").select("tok", "v"), "leaders")
     near = heads.join(leaders, "tok").select(F.col("cls").alias("u"), "v").where("u != v").distinct()
     candidates = cut(connected_components(near), "candidates")
     sizes = candidates.groupBy("root").agg(F.count("*").alias("members")).withColumn("blocks", F.when(F.col("members") <= task_sets, 1).otherwise(F.ceil(F.col("members") / (task_sets // 2))).cast("int"))
@@ -350,12 +360,12 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, task_sets: int = TA
     rows = cut(linked_documents(docs, k, percent, task_sets).where("grp IS NOT NULL").select("grp", "doc_id", "th"), "rows")
     groups = rows.groupBy("grp").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.count("*").alias("n")).where("n > 1").select("grp", "one")
     members = rows.join(groups, "grp").withColumn("is_one", F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("th") == F.col("one.th")))
-    gone = cut(members.groupBy("doc_id", "th").agg(F.max("is_one").alias("is_one"), F.count("*").alias("n")).where("NOT is_one OR n > 1"), "gone")
+    gone = members.groupBy("doc_id", "th").agg(F.max("is_one").alias("is_one"), F.count("*").alias("n")).where("NOT is_one OR n > 1")
+    gone = cut(gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "is_one"), "gone")
     few = gone.count() <= BROADCAST_TEXTS
-    small = (lambda df: F.broadcast(df)) if few else (lambda df: df)
-    pairs = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
-    marked = docs.withColumn("th", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    marked = docs.withColumn(OWN_TH, F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col(OWN_TH) == F.col("__th"))
     once = gone.where("is_one")
-    rest = marked.join(small(gone), pairs(marked, gone), "left_anti")
-    back = marked.join(small(once), pairs(marked, once), "left_semi").dropDuplicates(["doc_id", "th"])
+    rest = marked.join(F.broadcast(gone) if few else gone, same, "left_anti")
+    back = marked.join(F.broadcast(once) if few else once, same, "left_semi").dropDuplicates(["doc_id", OWN_TH])
     return rest.unionByName(back).select(*docs.columns)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, texts_of
+from .common import cut, prepare, texts_of, tidy
 
 #: Partition totals are broadcast up to this many rows (16 bytes each); beyond it they are joined by shuffle.
 BROADCAST_TOTALS = 1_000_000
@@ -77,7 +77,7 @@ def token_table(docs: DataFrame, json_path: str, rank_path: str | None = None, e
 
     prepare(docs.sparkSession)
     rows = texts_of(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, part int, local long, n long, ids binary")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, part int, local long, n long, ids binary")
 
 
 def unpack(packed: bytes) -> np.ndarray:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import Boosted, boost
-from .common import prepare, texts_of
+from .common import prepare, texts_of, tidy
 from .features import platt, sigmoid
 
 #: The kinds in their order.
@@ -258,7 +258,7 @@ def find_personal_data(docs: DataFrame, redacted: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string" + ", text string" * redacted)
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string" + ", text string" * redacted)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
@@ -277,4 +277,4 @@ def redact_documents(docs: DataFrame) -> DataFrame:
                 new.append(redact(text, spans) if spans else text)
             yield b.set_column(at, b.schema.field(at).with_type(pa.string()), pa.array(new, pa.string()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

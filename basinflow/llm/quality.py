@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import prepare, texts_of
-from .features import Bytes, Rows, fit_logistic, labelled_sample, mixed, platt, sigmoid, sums
+from .common import prepare, texts_of, tidy
+from .features import Bytes, Rows, fit_logistic, labelled_sample, mixed, platt, sigmoid, slices, sums
 
 BITS = 17
 SAMPLE_ROWS = 4000
@@ -161,6 +161,16 @@ def base_counts(texts: list[str], raw: list[bytes], batch: Bytes, words) -> dict
     }
 
 
+def judged(texts: list[str], raw: list[bytes], model: QualityModel, keep_from: float) -> dict[str, np.ndarray]:
+    """The base counts and verdicts of some texts."""
+    batch = Bytes(raw)
+    words = batch.words()
+    out = base_counts(texts, raw, batch, words)
+    failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * out["n_words"])
+    p = model.probabilities(batch, words)
+    return out | {"base_failed": failed, "quality": p, "kept": ~failed & (p >= keep_from)}
+
+
 def score_quality(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_FROM) -> DataFrame:
     """Per row of ``docs``: the base counts, base_failed, quality (calibrated probability) and kept.
 
@@ -176,16 +186,12 @@ def score_quality(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_
         for b in batches:
             texts = b.column(1).to_pylist()
             raw = [t.encode() for t in texts]
-            batch = Bytes(raw)
-            words = batch.words()
-            out = base_counts(texts, raw, batch, words)
-            failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * out["n_words"])
-            p = model.probabilities(batch, words)
-            out |= {"base_failed": failed, "quality": p, "kept": ~failed & (p >= keep_from)}
-            yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, out.values())], ["doc_id", *out])
+            for start, end in slices(raw):
+                out = judged(texts[start:end], raw[start:end], model, keep_from)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, end - start), *map(pa.array, out.values())], ["doc_id", *out])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean")
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality double, kept boolean")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
@@ -197,13 +203,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = send.value
         for b in batches:
-            batch = Bytes([(t or "").encode() for t in b.column(at).to_pylist()])
-            words = batch.words()
-            n = words[2] - words[1]
-            failed = (n < MIN_WORDS) | (100 * repeated_words(*words) > MAX_REPEAT_PERCENT * n)
-            yield b.filter(pa.array(~failed & (model.probabilities(batch, words) >= keep_from)))
+            texts = [t or "" for t in b.column(at).to_pylist()]
+            raw = [t.encode() for t in texts]
+            for start, end in slices(raw):
+                kept = judged(texts[start:end], raw[start:end], model, keep_from)["kept"]
+                yield b.slice(start, end - start).filter(pa.array(kept))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:

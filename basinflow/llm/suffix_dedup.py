@@ -28,16 +28,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare
+from .common import cut, prepare, release, tidy
 from .features import BYTE, mixed, powers
 from .suffixes import equal_prefixes, suffix_array
 
 GRAM = 64
 #: Bytes hashed at once, and bytes of contexts in a task, about.
-PIECE, TASK_BYTES = 1 << 20, 2 << 20
+PIECE, TASK_BYTES = 1 << 19, 1 << 20
 TASK_CONTEXTS = 6000
 #: Text hashes that are broadcast (8 bytes each); beyond it texts are joined by shuffle.
 BROADCAST_TEXTS = 1_000_000
+#: Names of own columns beside those of a caller's table.
+OWN_TH, OWN_SPANS = "__repeat_th", "__repeat_spans"
 
 
 def pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -98,7 +100,7 @@ def context_table(texts: DataFrame, length: int) -> DataFrame:
                 text, *columns = contexts(group, length)
                 yield pa.RecordBatch.from_arrays([pa.array(th[text]), *map(pa.array, columns)], ["th", "akey", "ckey", "low", "high", "at"])
 
-    return texts.mapInArrow(run, "th long, akey long, ckey long, low long, high long, at long")
+    return texts.mapInArrow(tidy(run), "th long, akey long, ckey long, low long, high long, at long")
 
 
 def cut_out(rows: DataFrame) -> DataFrame:
@@ -113,7 +115,7 @@ def cut_out(rows: DataFrame) -> DataFrame:
                     ["akey", "ckey", "bytes"],
                 )
 
-    return rows.mapInArrow(run, "akey long, ckey long, bytes binary")
+    return rows.mapInArrow(tidy(run), "akey long, ckey long, bytes binary")
 
 
 def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +147,7 @@ def sort_task(length: int):
         index = np.repeat(np.arange(len(found)), [len(a) for a, _ in found])
         join = lambda k: np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64)
         akey, ckey = (rows.column(c).to_numpy()[index] for c in ("akey", "ckey"))
+        release()
         return pa.table({"akey": pa.array(akey), "ckey": pa.array(ckey), "first": pa.array(join(0).astype(np.int64)), "last": pa.array(join(1).astype(np.int64))})
 
     return run
@@ -162,14 +165,14 @@ def window_names(contexts_: DataFrame, length: int) -> DataFrame:
                     ["akey", "ckey", "place", "name"],
                 )
 
-    return contexts_.mapInArrow(run, "akey long, ckey long, place long, name binary")
+    return contexts_.mapInArrow(tidy(run), "akey long, ckey long, place long, name binary")
 
 
 def texts_with(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
-    """Documents whose th is (left_semi) or is not (left_anti) in ``wanted(th)``, which are distinct."""
+    """Documents whose text hash is (left_semi) or is not (left_anti) in the one column of ``wanted``, which are distinct."""
     if wanted.count() <= BROADCAST_TEXTS:
         wanted = F.broadcast(wanted)
-    return docs.join(wanted, "th", how)
+    return docs.join(wanted, wanted.columns, how)
 
 
 def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONTEXTS) -> DataFrame:
@@ -179,7 +182,9 @@ def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONT
     """
     found = cut(context_table(texts, length), "contexts")
     anchors = found.groupBy("akey").agg(F.count("*").alias("n"), F.min("ckey").alias("a"), F.max("ckey").alias("b")).where("n > 1")
-    shared = cut(found.join(anchors.select("akey", (F.col("a") == F.col("b")).alias("alike")), "akey"), "shared")
+    # written first: a join with a written table can be split where one key is hot
+    anchors = cut(anchors.select("akey", (F.col("a") == F.col("b")).alias("alike")), "anchors")
+    shared = cut(found.join(anchors, "akey"), "shared")
     whole = shared.where("alike").select("th", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     # distinct contexts, each with one place to read it
     kinds = shared.where("NOT alike").groupBy("akey", "ckey").agg(F.count("*").alias("copies"), F.min(F.struct("th", "low", F.expr(f"high + {length} AS end"))).alias("one"))
@@ -194,7 +199,7 @@ def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONT
     runs = plain.groupBy("task").applyInArrow(sort_task(length), "akey long, ckey long, first long, last long")
     if crowds.count():
         names = cut(window_names(parts.join(crowds, "akey", "left_semi").select("akey", "ckey", "bytes"), length), "names")
-        twice = names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+        twice = cut(names.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "twice")
         runs = runs.unionByName(names.join(twice, "name").select("akey", "ckey", F.col("place").alias("first"), F.col("place").alias("last")))
     copied = kinds.where("copies > 1").select("akey", "ckey", F.lit(0).cast("long").alias("first"), (F.col("end") - F.col("low") - length).alias("last"))
     runs = runs.unionByName(copied)
@@ -250,7 +255,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(o, pa.int64()) for o in out[:3]), pa.array(out[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     hit = texts_with(rows, spans.select("th"), "left_semi").join(spans, "th").select("doc_id", "text", "spans")
-    hit = hit.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    hit = hit.mapInArrow(tidy(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     rest = texts_with(rows, spans.select("th"), "left_anti")
     zero = F.lit(0).cast("long")
     return hit.unionByName(rest.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")))
@@ -262,8 +267,9 @@ def strip_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     A range that starts or ends inside a character takes the whole character with it.
     """
     prepare(docs.sparkSession)
-    rows = keyed(docs)
-    spans = cut(repeated_spans(rows.where("text != ''").select("th", "text"), length), "spans")
+    rows = keyed(docs.select("text"))
+    spans = cut(repeated_spans(rows.where("text != ''").select("th", "text"), length), "spans").withColumnsRenamed({"th": OWN_TH, "spans": OWN_SPANS})
+    marked = docs.withColumn(OWN_TH, F.xxhash64(F.coalesce("text", F.lit(""))))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,6 +277,5 @@ def strip_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
             new = [without(text.encode(), united(found)).decode("utf-8", "ignore") for text, found in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 1)], b.schema.names[:-1])
 
-    hit = texts_with(rows, spans.select("th"), "left_semi").join(spans, "th").select(*docs.columns, "spans").mapInArrow(run, docs.schema)
-    rest = texts_with(docs.withColumn("th", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))), spans.select("th"), "left_anti").select(*docs.columns)
-    return hit.unionByName(rest)
+    hit = texts_with(marked, spans.select(OWN_TH), "left_semi").join(spans, OWN_TH).select(*docs.columns, OWN_SPANS).mapInArrow(tidy(run), docs.schema)
+    return hit.unionByName(texts_with(marked, spans.select(OWN_TH), "left_anti").select(*docs.columns))

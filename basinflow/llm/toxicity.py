@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, texts_of
+from .common import prepare, texts_of, tidy
 from .features import Bytes, Rows, fit_logistic, labelled_sample, mixed, platt, sigmoid, sums
 
 BITS = 20
@@ -188,7 +188,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, toxic_from: float = TO
             p = model.scores(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array((p >= toxic_from).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+    return rows.mapInArrow(tidy(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,33 +40,52 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
 _POWERS: tuple[np.ndarray, np.ndarray] = (np.empty(0, np.uint64), np.empty(0, np.uint64))
 
 
-class Bytes:
-    """Texts of a batch end to end, each followed by a line end, with hashes of any byte range.
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes modulo 2**64 of byte ranges, taken from prefix sums; a range's place does not matter."""
+    up, _ = powers(len(raw))
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(BYTE[raw] * up, out=total[1:])
+    _, down = powers(len(raw) + 1)
+    return mixed((total[ends] - total[starts]) * down[starts])
 
-    ``hashes(starts, ends)`` are polynomial hashes modulo 2**64, taken from prefix sums.
-    """
+
+class Bytes:
+    """Texts of a batch end to end, each followed by a line end."""
 
     def __init__(self, texts: list[bytes]) -> None:
         self.buf = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
         sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
         self.ends = np.cumsum(sizes) - 1
         self.starts = self.ends - sizes + 1
-        self._sums: np.ndarray | None = None
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if self._sums is None:
-            up, _ = powers(len(self.buf))
-            self._sums = np.zeros(len(self.buf) + 1, np.uint64)
-            np.cumsum(BYTE[self.buf] * up, out=self._sums[1:])
-        _, down = powers(len(self.buf) + 1)
-        return mixed((self._sums[ends] - self._sums[starts]) * down[starts])
+        """Hashes of byte ranges; for batches that are small as a whole."""
+        return range_hashes(self.buf, starts, ends)
+
+    def parts(self, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+        """Ranges of the bytes of about ``size`` that end at white space, so that no word is split."""
+        start, end = 0, 0
+        while start < len(self.buf):
+            end = min(start + size, len(self.buf))
+            while end < len(self.buf):  # the last byte of all is a line end
+                space = np.flatnonzero(SPACE[self.buf[end : end + size]])
+                end += int(space[0]) + 1 if len(space) else size
+                if len(space):
+                    break
+            end = min(end, len(self.buf))
+            yield start, end
+            start = end
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash of each word, first word of each text, first word after each text)."""
-        space = SPACE[self.buf]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
-        starts, ends = edge[0::2], edge[1::2]
-        return self.hashes(starts, ends), np.searchsorted(starts, self.starts), np.searchsorted(starts, self.ends)
+        starts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for a, b in self.parts():
+            raw = self.buf[a:b]
+            edge = np.flatnonzero(np.diff(np.concatenate([[True], SPACE[raw], [True]]).astype(np.int8)))
+            starts.append(a + edge[0::2])
+            hashes.append(range_hashes(raw, edge[0::2], edge[1::2]))
+        first = np.concatenate(starts)
+        return np.concatenate(hashes), np.searchsorted(first, self.starts), np.searchsorted(first, self.ends)
 
 
 def slices(texts: list[bytes], limit: int = 1 << 20) -> list[tuple[int, int]]:

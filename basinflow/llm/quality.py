@@ -20,6 +20,8 @@ from .features import Bytes, Rows, fit_logistic, labelled_sample, mixed, platt,
 
 BITS = 17
 SAMPLE_ROWS = 4000
+#: Positions whose features are in memory at once.
+PIECE = 1 << 19
 CHAR_ORDERS = (2, 4)
 WORD_ORDERS = (1, 2)
 #: A document is kept when its calibrated probability of good quality is at least this.
@@ -30,34 +32,37 @@ SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
 
 
-def grams(batch: Bytes, words: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each kind of n-gram: the feature of each position, and each text's range of positions."""
+def grams(batch: Bytes, words: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(kind, feature of each position, each text's range of positions), a bounded piece of the batch at a time."""
     shift = np.uint64(64 - BITS)
-    wide = batch.buf.astype(np.uint64)
-    wide[(batch.buf >= 65) & (batch.buf <= 90)] += np.uint64(32)
-    for n in CHAR_ORDERS:
-        if len(wide) < n:
-            yield np.zeros(0, np.int32), np.zeros(len(batch.starts), int), np.zeros(len(batch.starts), int)
-            continue
-        h = wide[: len(wide) - n + 1].copy()
-        for k in range(1, n):
-            h <<= np.uint64(8)
-            h |= wide[k : len(wide) - n + 1 + k]
-        h += np.uint64(n << 56)
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        yield (h >> shift).astype(np.int32), batch.starts, batch.ends - n + 1
-    h, first, after = words
-    for n in WORD_ORDERS:
-        if len(h) < n:
-            yield np.zeros(0, np.int32), np.zeros(len(batch.starts), int), np.zeros(len(batch.starts), int)
-            continue
-        g = h[: len(h) - n + 1].copy()
-        for k in range(1, n):
-            g *= np.uint64(0xD6E8FEB86659FD93)
-            g += h[k : len(h) - n + 1 + k]
-        yield (mixed(g + np.uint64(n)) >> shift).astype(np.int32), first, after - n + 1
+    for at in range(0, len(batch.buf), PIECE):
+        raw = batch.buf[at : at + PIECE + max(CHAR_ORDERS) - 1]
+        wide = raw.astype(np.uint64)
+        wide[(raw >= 65) & (raw <= 90)] += np.uint64(32)
+        for kind, n in enumerate(CHAR_ORDERS):
+            size = min(PIECE, len(wide) - n + 1)
+            if size < 1:
+                continue
+            h = wide[:size].copy()
+            for k in range(1, n):
+                h <<= np.uint64(8)
+                h |= wide[k : k + size]
+            h += np.uint64(n << 56)
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(31)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            yield kind, (h >> shift).astype(np.int32), np.clip(batch.starts - at, 0, size), np.clip(batch.ends - n + 1 - at, 0, size)
+    hashes, first, after = words
+    for at in range(0, len(hashes), PIECE):
+        for kind, n in enumerate(WORD_ORDERS, len(CHAR_ORDERS)):
+            size = min(PIECE, len(hashes) - n + 1 - at)
+            if size < 1:
+                continue
+            g = hashes[at : at + size].copy()
+            for k in range(1, n):
+                g *= np.uint64(0xD6E8FEB86659FD93)
+                g += hashes[at + k : at + k + size]
+            yield kind, (mixed(g + np.uint64(n)) >> shift).astype(np.int32), np.clip(first - at, 0, size), np.clip(after - n + 1 - at, 0, size)
 
 
 KINDS = len(CHAR_ORDERS) + len(WORD_ORDERS)
@@ -71,11 +76,11 @@ class QualityModel:
     shift: float
 
     def logits(self, batch: Bytes, words) -> np.ndarray:
-        z = np.full(len(batch.starts), self.bias)
-        for kind, (cols, first, after) in enumerate(grams(batch, words)):
-            n = np.maximum(after - first, 0)
-            z += sums(self.weights[kind][cols], first, after) / np.maximum(n, 1)
-        return z
+        total, count = np.zeros((2, KINDS, len(batch.starts)))
+        for kind, cols, first, after in grams(batch, words):
+            total[kind] += sums(self.weights[kind][cols], first, after)
+            count[kind] += np.maximum(after - first, 0)
+        return self.bias + (total / np.maximum(count, 1)).sum(0)
 
     def probabilities(self, batch: Bytes, words) -> np.ndarray:
         return sigmoid(self.scale * self.logits(batch, words) + self.shift)
@@ -84,18 +89,18 @@ class QualityModel:
 def matrix(texts: list[str]) -> Rows:
     """The training rows: shares of each feature, one block of columns for each kind."""
     starts, cols, values = [0], [], []
-    for at in range(0, len(texts), 64):
-        batch = Bytes([t.encode() for t in texts[at : at + 64]])
-        kinds = list(grams(batch, batch.words()))
-        for i in range(len(batch.starts)):
-            size = 0
-            for kind, (c, first, after) in enumerate(kinds):
-                if after[i] > first[i]:
-                    u, n = np.unique(c[first[i] : after[i]], return_counts=True)
-                    cols.append(u + (kind << BITS))
-                    values.append((n / n.sum()).astype(np.float32))
-                    size += len(u)
-            starts.append(starts[-1] + size)
+    for text in texts:
+        batch = Bytes([text.encode()])
+        parts: list[list[np.ndarray]] = [[] for _ in range(KINDS)]
+        for kind, c, first, after in grams(batch, batch.words()):
+            parts[kind].append(c[first[0] : max(first[0], after[0])])
+        size = 0
+        for kind, found in enumerate(parts):
+            u, n = np.unique(np.concatenate([np.zeros(0, np.int32), *found]), return_counts=True)
+            cols.append((u + (kind << BITS)).astype(np.int32))
+            values.append((n / max(n.sum(), 1)).astype(np.float32))
+            size += len(u)
+        starts.append(starts[-1] + size)
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
     return Rows(np.array(starts), join(cols, np.int32), join(values, np.float32), KINDS << BITS)
 

@@ -42,10 +42,9 @@ def basin_membership(cells: DataFrame, edges: DataFrame, zone: str = "pfaf_id",
     return hits.groupBy(zone, *CELL).agg(F.count("*").alias("crossings")).where("crossings % 2 = 1").select(zone, *CELL)
 
 
-def reduced(variable: str | Column, max_variables: Sequence[str] = MAX_VARIABLES) -> Column:
-    """The zonal reduction of a variable's values: the maximum for some, the plain mean otherwise."""
-    name = F.col(variable) if isinstance(variable, str) else variable
-    return F.when(F.first(name).isin(*max_variables), F.max("value")).otherwise(F.avg("value"))
+def reduced(variable: str, max_variables: Sequence[str] = MAX_VARIABLES) -> Column:
+    """The zonal reduction of a variable's values, a grouping column: the maximum for some, the plain mean otherwise."""
+    return F.when(F.col(variable).isin(*max_variables), F.max("value")).otherwise(F.avg("value"))
 
 
 def zonal_statistics(grid: DataFrame, membership: DataFrame, zone: str = "pfaf_id", keys: Sequence[str] = ("time", "ensemble"), max_variables: Sequence[str] = MAX_VARIABLES) -> DataFrame:

@@ -10,9 +10,11 @@ of windows with the same anchor is a context: the bytes that these windows cover
 
 * An anchor string that occurs once has no equal window anywhere: its context is left out.
 * If all contexts of an anchor string are equal (named by a digest), every window in them repeats.
-* The distinct contexts of the other anchor strings are laid end to end in tasks of bounded size; the
-  difference-cover algorithm sorts their suffixes (triples sorted and named, names sorted by
-  recursion, remaining suffixes merged), and equal windows are found as neighbours.
+* The distinct contexts of the other anchor strings go to tasks of bounded size.  There each context
+  is cut down to the windows that can be equal to another's: windows at nearly the same distance from
+  the anchor have most bytes in common, and only where that common part recurs can they be equal.
+  What is left is laid end to end; the difference-cover algorithm sorts its suffixes (triples sorted and
+  named, names sorted by recursion, remaining suffixes merged), and equal windows are neighbours.
 * An anchor string with more than ``task_contexts`` distinct contexts would not fit a task; its windows are
   named by 128-bit digests and counted instead, which any number of tasks can share.
 """
@@ -36,6 +38,8 @@ GRAM = 64
 #: Bytes hashed at once, and bytes of contexts in a task, about.
 PIECE, TASK_BYTES = 1 << 19, 1 << 20
 TASK_CONTEXTS = 6000
+#: Groups of neighbouring windows of a context that are ruled out together.
+CELLS = 8
 #: Text hashes that are broadcast (8 bytes each); beyond it texts are joined by shuffle.
 BROADCAST_TEXTS = 1_000_000
 #: Names of own columns beside those of a caller's table.
@@ -104,18 +108,47 @@ def context_table(texts: DataFrame, length: int) -> DataFrame:
 
 
 def cut_out(rows: DataFrame) -> DataFrame:
-    """``rows(text, wanted: array of structs)``: akey, ckey, and the bytes of each wanted context."""
+    """``rows(text, wanted: array of structs)``: akey, ckey, the anchor's place in the context, and its bytes, of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = text.encode()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w[c] for w in wanted], pa.int64()) for c in ("akey", "ckey")] + [pa.array([raw[w["low"] : w["end"]] for w in wanted], pa.binary())],
-                    ["akey", "ckey", "bytes"],
+                    [pa.array([w[c] for w in wanted], pa.int64()) for c in ("akey", "ckey", "anchor")] + [pa.array([raw[w["low"] : w["end"]] for w in wanted], pa.binary())],
+                    ["akey", "ckey", "anchor", "bytes"],
                 )
 
-    return rows.mapInArrow(tidy(run), "akey long, ckey long, bytes binary")
+    return rows.mapInArrow(tidy(run), "akey long, ckey long, anchor long, bytes binary")
+
+
+def hopeful(parts: list[bytes], akeys: list[int], anchors: list[int], length: int) -> list[tuple[int, int]]:
+    """For each context the first window, and the first after the last one, that may occur in another context.
+
+    Windows whose distance from the anchor is in one of a few ranges share the bytes between the
+    range's last start and its first end.  Equal windows have equal anchors and distances, so these
+    bytes recur too; ranges where they do not are left out at both ends.
+    """
+    span = length - GRAM
+    width = -(-(span + 1) // CELLS)
+    cells: list[list[tuple[int, int, int]]] = []
+    seen: dict[int, int] = {}
+    for part, akey, anchor in zip(parts, akeys, anchors):
+        n = len(part) - length + 1
+        own = []
+        for j in range(CELLS):
+            first = anchor - span + j * width
+            last = first + width - 1
+            if last >= 0 and first < n:
+                name = xxhash.xxh3_64_intdigest(part[last : first + length], (akey * CELLS + j) & 0xFFFFFFFFFFFFFFFF)
+                seen[name] = seen.get(name, 0) + 1
+                own.append((name, first, last))
+        cells.append(own)
+    out = []
+    for part, own in zip(parts, cells):
+        kept = [(first, last) for name, first, last in own if seen[name] > 1]
+        out.append((max(0, kept[0][0]), min(len(part) - length, kept[-1][1]) + 1) if kept else (0, 0))
+    return out
 
 
 def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +176,12 @@ def repeated_windows(parts: list[bytes], length: int) -> list[tuple[np.ndarray,
 
 def sort_task(length: int):
     def run(rows: pa.Table) -> pa.Table:
-        found = repeated_windows(rows.column("bytes").to_pylist(), length)
-        index = np.repeat(np.arange(len(found)), [len(a) for a, _ in found])
-        join = lambda k: np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64)
+        parts = rows.column("bytes").to_pylist()
+        ranges = hopeful(parts, rows.column("akey").to_pylist(), rows.column("anchor").to_pylist(), length)
+        which = [i for i, (a, b) in enumerate(ranges) if a < b]
+        found = repeated_windows([parts[i][ranges[i][0] : ranges[i][1] + length - 1] for i in which], length) if which else []
+        index = np.repeat(np.array(which, np.int64), [len(a) for a, _ in found])
+        join = lambda k: np.concatenate([np.zeros(0, np.int64), *(f[k] + ranges[i][0] for i, f in zip(which, found))])
         akey, ckey = (rows.column(c).to_numpy()[index] for c in ("akey", "ckey"))
         release()
         return pa.table({"akey": pa.array(akey), "ckey": pa.array(ckey), "first": pa.array(join(0).astype(np.int64)), "last": pa.array(join(1).astype(np.int64))})
@@ -187,10 +223,10 @@ def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONT
     shared = cut(found.join(anchors, "akey"), "shared")
     whole = shared.where("alike").select("th", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     # distinct contexts, each with one place to read it
-    kinds = shared.where("NOT alike").groupBy("akey", "ckey").agg(F.count("*").alias("copies"), F.min(F.struct("th", "low", F.expr(f"high + {length} AS end"))).alias("one"))
+    kinds = shared.where("NOT alike").groupBy("akey", "ckey").agg(F.count("*").alias("copies"), F.min(F.struct("th", "low", F.expr(f"high + {length} AS end"), F.expr("at - low AS anchor"))).alias("one"))
     kinds = cut(kinds.select("akey", "ckey", "copies", "one.*"), "kinds")
     crowds = cut(kinds.groupBy("akey").agg(F.count("*").alias("n")).where(F.col("n") > task_contexts).select("akey"), "crowds")
-    lists = kinds.groupBy("th").agg(F.collect_list(F.struct("akey", "ckey", "low", "end")).alias("wanted"))
+    lists = kinds.groupBy("th").agg(F.collect_list(F.struct("akey", "ckey", "anchor", "low", "end")).alias("wanted"))
     sources = texts_with(texts, kinds.select("th").distinct(), "left_semi").dropDuplicates(["th"])
     parts = cut(cut_out(sources.join(lists, "th").select("text", "wanted")), "parts")
     total = kinds.agg(F.sum(F.col("end") - F.col("low"))).first()[0] or 0

@@ -14,17 +14,21 @@ not), which gives the state at each bound; then each chunk is backtraced by itse
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare
+from .common import cut, prepare, tidy
 
+#: Rows whose ids are in memory at once as Python numbers.
+ROWS = 128
 #: Characters from which a document is split, and of a chunk.
 GIANT, CHUNK = 65_536, 8_192
 
@@ -42,6 +46,7 @@ class Pieces:
         self.ids = {self.model.id_to_piece(i): i for i in plain}
         self.scores = {p: self.model.get_score(i) for p, i in self.ids.items()}
         self.longest = max(map(len, self.ids), default=1)
+        self.starts = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
         self.fits = lru_cache(maxsize=1 << 20)(self._fits)
 
     def merged(self, text: str) -> list[str]:
@@ -71,6 +76,13 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def id_lists(lists: list[list[int]]) -> pa.ListArray:
+    """Lists of ids as Arrow lists, by way of one flat array."""
+    offsets = np.zeros(len(lists) + 1, np.int32)
+    np.cumsum([len(x) for x in lists], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.fromiter(chain.from_iterable(lists), np.int32, int(offsets[-1]))))
+
+
 def normalised(model: Pieces, text: str) -> str:
     """The text as the model sees it: normalised, with spaces as symbols and one in front."""
     return model.model.normalize(text) if text else ""
@@ -78,9 +90,12 @@ def normalised(model: Pieces, text: str) -> str:
 
 def tokens_at(model: Pieces, text: str, at: int) -> list[int]:
     """Ends of the tokens that can start here: any piece that matches, or the one character."""
-    ends = [at + 1]
+    ends, starts, ids = [at + 1], model.starts, model.ids
     for end in range(at + 2, min(len(text), at + model.longest) + 1):
-        if text[at:end] in model.ids:
+        part = text[at:end]
+        if part not in starts:
+            break
+        if part in ids:
             ends.append(end)
     return ends
 
@@ -138,7 +153,7 @@ def backtrace(model: Pieces, text: str, entry: tuple[int, int], leave: tuple[int
     return out[::-1]
 
 
-def chain(matrices: list[list[tuple[int, int, int, int]]], end: int) -> list[tuple[int, int]]:
+def path_of(matrices: list[list[tuple[int, int, int, int]]], end: int) -> list[tuple[int, int]]:
     """The state at each bound: products from the left say what can be reached, then the path is read from the end."""
     reached = [{(0, 0)}]
     for m in matrices:
@@ -167,7 +182,7 @@ def chunk_rows(rows: DataFrame, path: str, chunk: int) -> DataFrame:
                         ["th", "number", "base", "text", "start", "stop", "size"],
                     )
 
-    return rows.mapInArrow(run, "th long, number long, base long, text string, start long, stop long, size long")
+    return rows.mapInArrow(tidy(run), "th long, number long, base long, text string, start long, stop long, size long")
 
 
 def encode_giant(rows: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
@@ -187,7 +202,7 @@ def encode_giant(rows: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
     def states(doc: pa.Table) -> pa.Table:
         doc = doc.sort_by("number")
         lists = [[tuple(x[i : i + 4]) for i in range(0, len(x), 4)] for x in doc.column("entries").to_pylist()]
-        path_ = chain(lists, doc.column("size")[0].as_py())
+        path_ = path_of(lists, doc.column("size")[0].as_py())
         columns = [[a[0] for a in path_[:-1]], [a[1] for a in path_[:-1]], [a[0] for a in path_[1:]], [a[1] for a in path_[1:]]]
         return pa.table({"th": doc.column("th"), "number": doc.column("number"), **{n: pa.array(c, pa.int64()) for n, c in zip(("a", "b", "c", "d"), columns)}})
 
@@ -199,9 +214,9 @@ def encode_giant(rows: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
                 got = backtrace(model, r["text"], (r["a"] - base, r["b"] - base), (r["c"] - base, r["d"] - base), r["stop"])
                 yield pa.RecordBatch.from_arrays([pa.array([r["th"]]), pa.array([r["number"]]), pa.array([[i for p in got for i in model.ids_of(p)]], pa.list_(pa.int32()))], ["th", "number", "ids"])
 
-    matrix = cut(parts.mapInArrow(matrices, "th long, number long, size long, entries array<long>"), "matrices")
+    matrix = cut(parts.mapInArrow(tidy(matrices), "th long, number long, size long, entries array<long>"), "matrices")
     bounds = matrix.groupBy("th").applyInArrow(states, "th long, number long, a long, b long, c long, d long")
-    ids = parts.join(bounds, ["th", "number"]).select("th", "number", "base", "text", "stop", "a", "b", "c", "d").mapInArrow(traced, "th long, number long, ids array<int>")
+    ids = parts.join(bounds, ["th", "number"]).select("th", "number", "base", "text", "stop", "a", "b", "c", "d").mapInArrow(tidy(traced), "th long, number long, ids array<int>")
     joined = F.array_sort(F.collect_list(F.struct("number", "ids")))
     return ids.groupBy("th").agg(F.flatten(F.transform(joined, lambda x: x["ids"])).alias("ids"))
 
@@ -218,15 +233,20 @@ def encode_documents(docs: DataFrame, path: str, giant: int = GIANT, chunk: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path).model
         for b in batches:
-            ids = model.encode(b.column(1).to_pylist(), num_threads=1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for at in range(0, b.num_rows, ROWS):  # ids as Python numbers are many times the text's size
+                part = b.slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(0), id_lists(model.encode(part.column(1).to_pylist(), num_threads=1))], ["doc_id", "ids"])
 
-    small = rows.where(F.length("text") <= giant).mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    small = rows.where(F.length("text") <= giant).mapInArrow(tidy(run), f"doc_id {kind}, ids array<int>")
     large = rows.where(F.length("text") > giant).withColumn("th", F.xxhash64("text"))
     found = encode_giant(large.select("th", "text").dropDuplicates(["th"]), path, chunk)
     return small.unionByName(large.select("doc_id", "th").join(found, "th").select("doc_id", "ids"))
 
 
+def decoded(model, ids: pa.ListScalar) -> str:
+    return model.decode(ids.values.to_numpy().tolist()) if ids.values is not None and len(ids.values) else ""
+
+
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id and text of each row of ``encoded(doc_id, ids)``; null ids give an empty text."""
     prepare(encoded.sparkSession)
@@ -235,10 +255,10 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path).model
         for b in batches:
-            texts = [model.decode(ids) if ids else "" for ids in b.column(1).to_pylist()]
+            texts = [decoded(model, ids) for ids in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {kind}, text string")
 
 
 def encoding_digest(encoded: DataFrame, path: str) -> DataFrame:
@@ -247,14 +267,15 @@ def encoding_digest(encoded: DataFrame, path: str) -> DataFrame:
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
         model = pieces(path).model
         for b in batches:
-            lists = b.column(1).to_pylist()
+            ids = [np.zeros(0, np.int32) if x.values is None else x.values.to_numpy() for x in b.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in lists], pa.int64()), pa.array([zlib.crc32(np.array(x, "<u4")) for x in lists], pa.int64()), pa.array([hashlib.sha256((model.decode(x) if x else "").encode()).hexdigest() for x in lists])],
+                [
+                    b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(np.ascontiguousarray(x, "<u4")) for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(decoded(model, x).encode()).hexdigest() for x in b.column(1)], pa.string()),
+                ],
                 ["doc_id", "n_ids", "ids_crc32", "decoded_sha256"],
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, n_ids long, ids_crc32 long, decoded_sha256 string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {kind}, n_ids long, ids_crc32 long, decoded_sha256 string")

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, prepare, tidy
+from .common import cut, prepare, release, tidy
 from .components import connected_components
 from .features import Bytes, mixed, slices
 
@@ -152,7 +152,10 @@ def first_pass(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame
 
 
 def shared_in_bucket(rows: pa.Table) -> pa.Table:
-    """How many of each document's shingles here occur in other batches at about its size: batch, ref, hits."""
+    """How many of each document's shingles here occur in other batches at about its size.
+
+    A row for each batch: refs (2 bytes each) and hits (4 bytes each).
+    """
     toks = [np.frombuffer(x, np.uint64) for x in rows.column("toks").to_pylist()]
     classes, refs = (np.concatenate([np.frombuffer(x, np.uint16) for x in rows.column(c).to_pylist()]) for c in ("classes", "refs"))
     source = np.repeat(np.arange(len(toks), dtype=np.int32), [len(x) for x in toks])
@@ -165,8 +168,26 @@ def shared_in_bucket(rows: pa.Table) -> pa.Table:
     shared[:-1] |= near
     keep = shared & (refs != MANY)
     pair, hits = np.unique(source[keep].astype(np.int64) * 65536 + refs[keep], return_counts=True)
+    own = pair // 65536
+    edges = np.flatnonzero(np.diff(own, prepend=-1, append=-1))
+    parts = list(zip(edges[:-1].tolist(), edges[1:].tolist())) if len(own) else []
     batch = rows.column("batch").to_numpy()
-    return pa.table({"batch": pa.array(batch[pair // 65536], pa.int64()), "ref": pa.array((pair % 65536).astype(np.int32)), "hits": pa.array(hits.astype(np.int32))})
+    small, many = (pair % 65536).astype(np.uint16), hits.astype(np.uint32)
+    out = pa.table({
+        "batch": pa.array([batch[own[s]] for s, _ in parts], pa.int64()),
+        "refs": pa.array([small[s:e].tobytes() for s, e in parts], pa.binary()), "hits": pa.array([many[s:e].tobytes() for s, e in parts], pa.binary()),
+    })
+    release()
+    return out
+
+
+def summed_hits(rows: pa.Table) -> pa.Table:
+    """batch, ref, hits of each document of a batch that has any."""
+    total = np.zeros(65536, np.int64)
+    for refs, hits in zip(rows.column("refs").to_pylist(), rows.column("hits").to_pylist()):
+        total[np.frombuffer(refs, np.uint16)] += np.frombuffer(hits, np.uint32)
+    ref = np.flatnonzero(total)
+    return pa.table({"batch": pa.array(np.full(len(ref), rows.column("batch")[0].as_py(), np.int64)), "ref": pa.array(ref.astype(np.int32)), "hits": pa.array(total[ref])})
 
 
 class Lists:
@@ -301,8 +322,8 @@ def linked_documents(docs: DataFrame, k: int, percent: int, task_sets: int = TAS
     sets = first.where(F.col("bucket").isNull()).select("doc_id", "th", "cls", "n", "batch", "ref", "known", "needed")
     sent = first.where(F.col("bucket").isNotNull()).select("bucket", "batch", "toks", "classes", "refs")
     tasks = int((sent.agg(F.sum(F.octet_length("toks"))).first()[0] or 0) // (8 * TASK_SHINGLES)) + 1
-    hits = sent.withColumn("task", F.col("bucket") % tasks).groupBy("task").applyInArrow(shared_in_bucket, "batch long, ref int, hits int")
-    hits = hits.groupBy("batch", "ref").agg(F.sum("hits").alias("hits"))
+    hits = sent.withColumn("task", F.col("bucket") % tasks).groupBy("task").applyInArrow(shared_in_bucket, "batch long, refs binary, hits binary")
+    hits = hits.groupBy("batch").applyInArrow(summed_hits, "batch long, ref int, hits long")
     able = sets.where("cls IS NOT NULL").join(hits, ["batch", "ref"], "left").where(F.coalesce("hits", F.lit(0)) + F.col("known") >= F.col("needed"))
     # one text stands for a class
     able = cut(able.groupBy("cls").agg(F.min("th").alias("th")), "able")

@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ IDENTITY = (
     ("deaf", "blind", "disabled", "autistic"),
     ("old", "young", "elderly"),
 )
+GROUP_OF = {w: g for g in IDENTITY for w in g}
 WORD = re.compile(r"[^\W\d_]+")
 #: Words whose scores a worker keeps.
 CACHE = 400_000
@@ -88,25 +90,27 @@ class ToxicityModel:
         if new:
             self.known.update(zip(new, word_rows(new).dot(self.weights).tolist()))
         get = self.known.__getitem__
-        return np.array([self.bias + sum(sorted(map(get, s))) for s in sets])
+        return np.array([self.bias + fsum(map(get, s)) for s in sets])
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return sigmoid(self.scale * self.logits(texts) + self.shift)
 
 
-def counterfactuals(sets: list[set[str]], seed: int = 7) -> list[tuple[set[str], set[str]]]:
-    """Pairs of word sets that differ in identity terms alone."""
+def counterfactuals(named: list[list[str]], seed: int = 7) -> list[dict[str, float]]:
+    """For each text, given the identity terms that it names, what a swap changes: words that come (1) and go (-1).
+
+    A text that names none gets a neutral mention of some group.
+    """
     rng = np.random.default_rng(seed)
-    group = {w: g for g in IDENTITY for w in g}
     out = []
-    for words in sets:
-        named = [w for w in words if w in group]
-        if named:
-            swap = {w: str(rng.choice([x for x in group[w] if x != w])) for w in sorted(named)}
-            out.append((words, {swap.get(w, w) for w in words}))
+    for words in named:
+        if words:
+            swap = [(w, str(rng.choice([x for x in GROUP_OF[w] if x != w]))) for w in words]
+            new = {x for _, x in swap} - set(words)
+            out.append({w: -1.0 for w in words if w not in {x for _, x in swap}} | {x: 1.0 for x in sorted(new)})
         else:
             terms = IDENTITY[rng.integers(len(IDENTITY))]
-            out.append((words, words | {str(rng.choice(terms))}))
+            out.append({str(rng.choice(terms)): 1.0})
     return out
 
 
@@ -142,28 +146,33 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     texts, y = labelled_sample(docs, labels, "toxic", sample_rows, where)
     if len(y) < 10 or not 0 < y.sum() < len(y):
         return ToxicityModel(np.zeros(1 << BITS), -3.0)
-    sets = [words_of(t) for t in texts]
+    index: dict[str, int] = {}
+    ids, named = [], []
+    for t in texts:
+        words = sorted(words_of(t))
+        ids.append(np.array([index.setdefault(w, len(index)) for w in words], np.int32))
+        named.append([w for w in words if w in GROUP_OF])
     # near-equal documents have the same few smallest word hashes
-    marks = [tuple(np.sort(word_hashes(sorted(s)))[:4].tolist()) for s in sets]
+    hashes = word_hashes(list(index))
+    marks = [tuple(np.sort(hashes[i])[:4].tolist()) for i in ids]
     first = np.array(sorted({m: i for i, m in reversed(list(enumerate(marks)))}.values()))
-    texts, sets, y = [texts[i] for i in first], [sets[i] for i in first], y[first]
+    texts, ids, named, y = [texts[i] for i in first], [ids[i] for i in first], [named[i] for i in first], y[first]
     fold = np.arange(len(y)) % 5 == 4
     if not 0 < y[~fold].sum() < len(y[~fold]):
         return ToxicityModel(np.zeros(1 << BITS), -3.0)
     held = [t for t, f in zip(texts, fold) if f]
-    sets = [s for s, f in zip(sets, fold) if not f]
-    pairs = counterfactuals(sets)
-    vocabulary = sorted(set().union(*sets, *(b for _, b in pairs)))
-    index = {w: i for i, w in enumerate(vocabulary)}
-    grams = word_rows(vocabulary)
-    ids = [np.array(sorted(index[w] for w in s), np.int32) for s in sets]
+    ids = [i for i, f in zip(ids, fold) if not f]
+    changes = [
+        (np.array([index.setdefault(w, len(index)) for w in c], np.int32), np.array(list(c.values())))
+        for c in counterfactuals([w for w, f in zip(named, fold) if not f])
+    ]
+    grams = word_rows(list(index))
     grams = restricted(grams, telling(grams, ids, y[~fold]))
-    rows = Rows(np.cumsum([0, *map(len, ids)]), np.concatenate([*ids, np.zeros(0, np.int32)]), None, len(vocabulary))
-    changes = [(np.array([index[w] for w in a ^ b], np.int32), np.array([1.0 if w in b else -1.0 for w in a ^ b])) for a, b in pairs]
-    change = Rows(np.cumsum([0, *(len(c) for c, _ in changes)]), np.concatenate([c for c, _ in changes]), np.concatenate([v for _, v in changes]), len(vocabulary))
+    rows = Rows(np.cumsum([0, *map(len, ids)]), np.concatenate([*ids, np.zeros(0, np.int32)]), None, len(index))
+    change = Rows(np.cumsum([0, *(len(c) for c, _ in changes)]), np.concatenate([c for c, _ in changes]), np.concatenate([v for _, v in changes]), len(index))
 
     def unfair(w: np.ndarray) -> np.ndarray:
-        return penalty * grams.back(change.back(change.dot(grams.dot(w)) / len(pairs)))
+        return penalty * grams.back(change.back(change.dot(grams.dot(w)) / len(changes)))
 
     w, b = fit_logistic(lambda w: rows.dot(grams.dot(w)), lambda r: grams.back(rows.back(r)), grams.width, y[~fold], 1e-4, steps, 0.05, unfair)
     model = ToxicityModel(w.astype(np.float32), b)

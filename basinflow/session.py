@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it, whatever their working folder is.
+
+    On a cluster without a shared code folder, ship the package with ``--py-files`` as well.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def session(app: str = "basinflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` overrides."""
     builder = SparkSession.builder.appName(app)

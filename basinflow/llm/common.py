@@ -10,13 +10,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basinflow.session import importable
+
 #: Arrow batches are bounded in rows and in bytes, so that a few very long texts do not fill a worker.
 BATCH_ROWS = 1024
 BATCH_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the Arrow batches that Python workers receive."""
+    """Bound the Arrow batches that Python workers receive, and let workers import this package."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

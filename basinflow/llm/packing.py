@@ -10,6 +10,7 @@ Only the last sequence is short.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,36 +28,38 @@ BROADCAST_TOTALS = 1_000_000
 
 
 @lru_cache(maxsize=2)
-def encoders(json_path: str, rank_path: str | None):
-    """(tokenizers.Tokenizer, tiktoken.Encoding or None, special strings) for a vocabulary."""
+def tokenizer(json_path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(json_path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    fast = None
-    if rank_path:
-        import public_tokenizers
-        import tiktoken
+    return Tokenizer.from_file(json_path)
 
-        with open(rank_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return tokenizer, fast, special
+
+@lru_cache(maxsize=2)
+def special_strings(json_path: str) -> tuple[str, ...]:
+    with open(json_path, "rb") as f:
+        return tuple(t["content"] for t in json.load(f).get("added_tokens", []))
+
+
+@lru_cache(maxsize=2)
+def ranked(rank_path: str):
+    """The vocabulary as ranks."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(rank_path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def encode(texts: list[str], json_path: str, rank_path: str | None) -> list[list[int]]:
-    """Token ids of each text as ``tokenizers`` gives them.
+def encode(text: str, json_path: str, rank_path: str | None) -> list[int]:
+    """Token ids of a text as ``tokenizers`` gives them.
 
     The same vocabulary as ranks gives the same ids for texts without the strings of special tokens
-    and is several times faster, so it is used for those.
+    and is several times faster, so it is used for those, and ``tokenizers`` is loaded only for others.
     """
-    tokenizer, fast, special = encoders(json_path, rank_path)
-    if fast is None:
-        return [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    return [
-        tokenizer.encode(t, add_special_tokens=False).ids if any(s in t for s in special) else fast.encode_ordinary(t)
-        for t in texts
-    ]
+    if rank_path is None or any(s in text for s in special_strings(json_path)):
+        return tokenizer(json_path).encode(text, add_special_tokens=False).ids
+    return ranked(rank_path).encode_ordinary(text)
 
 
 def token_table(docs: DataFrame, json_path: str, rank_path: str | None = None, end_id: int = 0) -> DataFrame:
@@ -65,7 +68,7 @@ def token_table(docs: DataFrame, json_path: str, rank_path: str | None = None, e
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, local = TaskContext.get().partitionId(), 0
         for b in batches:
-            ids = [np.array([*x, end_id], "<u4") for x in encode(b.column(1).to_pylist(), json_path, rank_path)]
+            ids = [np.array([*encode(t, json_path, rank_path), end_id], "<u4") for t in b.column(1).to_pylist()]
             n = np.array([len(x) for x in ids], "i8")
             before = local + np.cumsum(n) - n
             local += int(n.sum())

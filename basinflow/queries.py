@@ -361,7 +361,7 @@ def tile_bilinear(spark, sf_dir):
     return tiles.sample_bilinear(one_layer(spark, sf_dir), lat, lon, points, ("row", "col")).select("row", "col", r4())
 
 
-SPARSE = f"{RASTER}, {CELLS}, sparse AS (SELECT i AS r, j AS c, v FROM cells WHERE v > 27)"
+SPARSE = f"{RASTER}, {CELLS}, sparse AS (SELECT i AS r, j AS c, v FROM cells WHERE v > (SELECT quantile_cont(v, 0.95::DOUBLE) FROM cells))"
 GROW = """(SELECT r, c, v FROM (SELECT r, c, v, row_number() OVER (PARTITION BY r, c ORDER BY p) AS k FROM (
  SELECT r, c, v, -1 AS p FROM {0} UNION ALL SELECT r - di, c - dj, v, p FROM {0}, (VALUES (1, 1, 0), (1, 0, 1), (1, -1, 2), (0, 1, 3), (0, -1, 4), (-1, 1, 5), (-1, 0, 6), (-1, -1, 7)) o(di, dj, p)
  WHERE r - di BETWEEN 0 AND 11 AND c - dj BETWEEN 0 AND 15)) WHERE k = 1)"""
@@ -369,8 +369,10 @@ GROW = """(SELECT r, c, v FROM (SELECT r, c, v, row_number() OVER (PARTITION BY
 
 @query(f"WITH {SPARSE}, one AS {GROW.format('sparse')}, two AS {GROW.format('one')} SELECT r AS row, c AS col, round(v, 4) AS value FROM two")
 def thicken(spark, sf_dir):
-    """Cells with much value, as rivers among land, grown twice."""
-    sparse = one_layer(spark, sf_dir).where("value > 27").select(F.col("lat_idx").alias("row"), F.col("lon_idx").alias("col"), "value")
+    """The twentieth of cells with the largest values, as rivers among land, grown twice."""
+    layer = one_layer(spark, sf_dir)
+    limit = layer.agg(F.percentile("value", 0.95).alias("limit"))
+    sparse = layer.crossJoin(F.broadcast(limit)).where("value > limit").select(F.col("lat_idx").alias("row"), F.col("lon_idx").alias("col"), "value")
     return tiles.thicken(sparse, NLAT, NLON, passes=2).select("row", "col", r4())
 
 

@@ -36,6 +36,8 @@ from .features import Bytes, mixed, slices
 
 #: Sets of one task of the join; larger candidate components are joined in pairs of blocks.
 TASK_SETS = 4000
+#: Sets of which the candidates are kept to derive others from; those of earlier sets are looked up again.
+KEPT_ANSWERS = 16
 #: Sampled shingles that a task of the first filter takes, about.
 TASK_SHINGLES = 1_000_000
 #: Text hashes of documents to read again that are broadcast (8 bytes each); beyond it they are joined by shuffle.
@@ -269,7 +271,7 @@ def join_sets(sets: list[np.ndarray], sizes: list[int], percent: int, similar: f
     ascending = [np.sort(s) for s in sets]
     prefixes: list[dict[int, int]] = []  # of each number in that order: shingle and position
     latest: dict[int, int] = {}  # the last number whose prefix has a shingle
-    answers: dict[int, tuple[int, set[int]]] = {}  # all that share a prefix shingle, up to a number
+    answers: dict[int, tuple[int, set[int]]] = {}  # all that share a prefix shingle, up to a number; of the last few sets
     for number, i in enumerate(order):
         size = sizes[i]
         lone = size - len(sets[i])
@@ -284,6 +286,8 @@ def join_sets(sets: list[np.ndarray], sizes: list[int], percent: int, similar: f
             for t in prefix:
                 found.update(lists.every(t, size, percent, upto if t in prefixes[model] else 0))
             answers[number] = (number, found)
+            while len(answers) > KEPT_ANSWERS:
+                del answers[next(iter(answers))]
         else:
             found = {m for t, p in prefix.items() for m in lists.find(t, size, p, percent)}
         for m in sorted(found, reverse=True):
@@ -380,6 +384,7 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, task_sets: int = TA
     """
     rows = cut(linked_documents(docs, k, percent, task_sets).where("grp IS NOT NULL").select("grp", "doc_id", "th"), "rows")
     groups = rows.groupBy("grp").agg(F.min(F.struct("doc_id", "th")).alias("one"), F.count("*").alias("n")).where("n > 1").select("grp", "one")
+    groups = cut(groups, "groups")
     members = rows.join(groups, "grp").withColumn("is_one", F.col("doc_id").eqNullSafe(F.col("one.doc_id")) & (F.col("th") == F.col("one.th")))
     gone = members.groupBy("doc_id", "th").agg(F.max("is_one").alias("is_one"), F.count("*").alias("n")).where("NOT is_one OR n > 1")
     gone = cut(gone.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), "is_one"), "gone")

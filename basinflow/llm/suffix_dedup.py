@@ -17,12 +17,15 @@ of windows with the same anchor is a context: the bytes that these windows cover
   named, names sorted by recursion, remaining suffixes merged), and equal windows are neighbours.
 * An anchor string with more than ``task_contexts`` distinct contexts would not fit a task; its windows are
   named by 128-bit digests and counted instead, which any number of tasks can share.
+
+Passages of words are found in the same way: each word stands as a code of a fixed number of bytes, and
+of the windows that repeat those that start with a word count.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, prepare, release, tidy
-from .features import BYTE, mixed, powers
+from .features import BYTE, SPACE, Bytes, mixed, powers, slices
 from .suffixes import equal_prefixes, suffix_array
 
 GRAM = 64
@@ -42,8 +45,31 @@ TASK_CONTEXTS = 6000
 CELLS = 8
 #: Text hashes that are broadcast (8 bytes each); beyond it texts are joined by shuffle.
 BROADCAST_TEXTS = 1_000_000
+#: Bytes of a word's hash.  Passages of many words are compared, so about 2**-48 holds for a pair that differs in one word.
+WORD_CODE = 6
 #: Names of own columns beside those of a caller's table.
-OWN_TH, OWN_SPANS = "__repeat_th", "__repeat_spans"
+OWN_TH, OWN_SPANS, OWN_PASSAGES = "__repeat_th", "__repeat_spans", "__repeat_passages"
+
+
+def encoded(texts: list[str]) -> list[bytes]:
+    return [t.encode() for t in texts]
+
+
+def word_codes(texts: list[str]) -> list[bytes]:
+    """The codes of each text's words, end to end.  Words are separated by space and \\t\\n\\v\\f\\r."""
+    raws, out = encoded(texts), []
+    for a, b in slices(raws):
+        words, first, after = Bytes(raws[a:b]).words()
+        codes = words.view(np.uint8).reshape(-1, 8)[:, :WORD_CODE].tobytes()
+        out += [codes[WORD_CODE * i : WORD_CODE * j] for i, j in zip(first.tolist(), after.tolist())]
+    return out
+
+
+def passage_ranges(raw: bytes, spans: list[dict], words: int) -> list[dict]:
+    """Byte ranges of the passages of ``words`` words or more in spans of word codes."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], SPACE[np.frombuffer(raw, np.uint8)], [True]]).astype(np.int8))).tolist()
+    whole = [(-(-s["start"] // WORD_CODE), s["end"] // WORD_CODE) for s in spans]
+    return [{"start": edge[2 * a], "end": edge[2 * b - 1]} for a, b in whole if b - a >= words]
 
 
 def pieces(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -94,26 +120,26 @@ def contexts(group: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarr
     return text, grams[at].view(np.int64), digest.view(np.int64), low + shift[which], high + shift[which], at + shift[which]
 
 
-def context_table(texts: DataFrame, length: int) -> DataFrame:
+def context_table(texts: DataFrame, length: int, code: Callable[[list[str]], list[bytes]] = encoded) -> DataFrame:
     """th, akey, ckey, low, high, at of each context of ``texts(th, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             th = b.column(0).to_numpy()
-            for group in pieces([t.encode() for t in b.column(1).to_pylist()], length):
+            for group in pieces(code(b.column(1).to_pylist()), length):
                 text, *columns = contexts(group, length)
                 yield pa.RecordBatch.from_arrays([pa.array(th[text]), *map(pa.array, columns)], ["th", "akey", "ckey", "low", "high", "at"])
 
     return texts.mapInArrow(tidy(run), "th long, akey long, ckey long, low long, high long, at long")
 
 
-def cut_out(rows: DataFrame) -> DataFrame:
+def cut_out(rows: DataFrame, code: Callable[[list[str]], list[bytes]] = encoded) -> DataFrame:
     """``rows(text, wanted: array of structs)``: akey, ckey, the anchor's place in the context, and its bytes, of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                raw = text.encode()
+                raw = code([text])[0]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([w[c] for w in wanted], pa.int64()) for c in ("akey", "ckey", "anchor")] + [pa.array([raw[w["low"] : w["end"]] for w in wanted], pa.binary())],
                     ["akey", "ckey", "anchor", "bytes"],
@@ -211,12 +237,12 @@ def texts_with(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
     return docs.join(wanted, wanted.columns, how)
 
 
-def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONTEXTS) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONTEXTS, code: Callable[[list[str]], list[bytes]] = encoded) -> DataFrame:
     """th and spans: the byte ranges (start, end), possibly overlapping, that repeated windows cover in each text.
 
-    ``texts(th, text)`` has a row for each document; equal texts have equal th.
+    ``texts(th, text)`` has a row for each document; equal texts have equal th.  The bytes are those that ``code`` gives.
     """
-    found = cut(context_table(texts, length), "contexts")
+    found = cut(context_table(texts, length, code), "contexts")
     anchors = found.groupBy("akey").agg(F.count("*").alias("n"), F.min("ckey").alias("a"), F.max("ckey").alias("b")).where("n > 1")
     # written first: a join with a written table can be split where one key is hot
     anchors = cut(anchors.select("akey", (F.col("a") == F.col("b")).alias("alike")), "anchors")
@@ -228,7 +254,7 @@ def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONT
     crowds = cut(kinds.groupBy("akey").agg(F.count("*").alias("n")).where(F.col("n") > task_contexts).select("akey"), "crowds")
     lists = kinds.groupBy("th").agg(F.collect_list(F.struct("akey", "ckey", "anchor", "low", "end")).alias("wanted"))
     sources = texts_with(texts, kinds.select("th").distinct(), "left_semi").dropDuplicates(["th"])
-    parts = cut(cut_out(sources.join(lists, "th").select("text", "wanted")), "parts")
+    parts = cut(cut_out(sources.join(lists, "th").select("text", "wanted"), code), "parts")
     total = kinds.agg(F.sum(F.col("end") - F.col("low"))).first()[0] or 0
     tasks = int(total // TASK_BYTES) + 1
     plain = parts.join(crowds, "akey", "left_anti").withColumn("task", F.pmod(F.xxhash64("akey"), F.lit(tasks)))
@@ -297,21 +323,32 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     return hit.unionByName(rest.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")))
 
 
-def strip_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
+def strip_repeats(docs: DataFrame, length: int = 400, words: int | None = None) -> DataFrame:
     """``docs(doc_id, text, ...)`` with repeated bytes removed from ``text``; other columns and null texts stay.
 
+    With ``words``, passages of that many words that start anywhere else as well are removed too, whatever
+    their bytes and the white space between the words; both kinds are looked for in the texts as given.
     A range that starts or ends inside a character takes the whole character with it.
     """
     prepare(docs.sparkSession)
-    rows = keyed(docs.select("text"))
-    spans = cut(repeated_spans(rows.where("text != ''").select("th", "text"), length), "spans").withColumnsRenamed({"th": OWN_TH, "spans": OWN_SPANS})
+    rows = keyed(docs.select("text")).where("text != ''").select("th", "text")
+    spans = cut(repeated_spans(rows, length), "spans").withColumnsRenamed({"th": OWN_TH, "spans": OWN_SPANS})
+    if words is None:
+        spans = spans.withColumn(OWN_PASSAGES, F.lit(None).cast(spans.schema[OWN_SPANS].dataType))
+    else:
+        passages = cut(repeated_spans(rows, words * WORD_CODE, code=word_codes), "passages").withColumnsRenamed({"th": OWN_TH, "spans": OWN_PASSAGES})
+        spans = cut(spans.join(passages, OWN_TH, "full_outer").select(OWN_TH, OWN_SPANS, OWN_PASSAGES), "both")
     marked = docs.withColumn(OWN_TH, F.xxhash64(F.coalesce("text", F.lit(""))))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            new = [without(text.encode(), united(found)).decode("utf-8", "ignore") for text, found in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 1)], b.schema.names[:-1])
+            new = []
+            for text, found, more in zip(*(b.column(i).to_pylist() for i in (at, b.num_columns - 2, b.num_columns - 1))):
+                raw = text.encode()
+                ranges = (found or []) + (passage_ranges(raw, more, words) if more else [])
+                new.append(without(raw, united(sorted(ranges, key=lambda r: r["start"]))).decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()) if i == at else b.column(i) for i in range(b.num_columns - 2)], b.schema.names[:-2])
 
-    hit = texts_with(marked, spans.select(OWN_TH), "left_semi").join(spans, OWN_TH).select(*docs.columns, OWN_SPANS).mapInArrow(tidy(run), docs.schema)
+    hit = texts_with(marked, spans.select(OWN_TH), "left_semi").join(spans, OWN_TH).select(*docs.columns, OWN_SPANS, OWN_PASSAGES).mapInArrow(tidy(run), docs.schema)
     return hit.unionByName(texts_with(marked, spans.select(OWN_TH), "left_anti").select(*docs.columns))

@@ -14,6 +14,9 @@ from basinflow.llm.common import cut, table
 
 #: No SQL expresses the learned stages and the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
+#: A passage counts from here on.  In words, as no number of bytes does: 51 words are about 320 bytes here, and from 101 bytes on;
+#: a limit that low would take phrases of 16 words.  The 400 bytes stay for texts with few spaces.
+PASSAGE_WORDS = 51
 
 
 def recounted(docs: DataFrame) -> DataFrame:
@@ -31,8 +34,8 @@ def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings of 400 that start anywhere else as well are removed from the texts."""
-    return recounted(suffix_dedup.strip_repeats(docs, length=400))
+    """Byte strings of 400, and passages of more than 50 words, that start anywhere else as well are removed from the texts."""
+    return recounted(suffix_dedup.strip_repeats(docs, length=400, words=PASSAGE_WORDS))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 
 import numpy as np
 import pytest
@@ -8,6 +9,8 @@ import corpus_pipeline
 from basinflow.llm import jaccard, pii, quality, suffix_dedup
 from basinflow.llm.queries import oracle_sql, queries
 
+from .helpers import documents, sentence
+
 DATA = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages labels".split()
 
@@ -62,3 +65,14 @@ def test_stages_do_what_their_operators_say(spark):
 def test_run_applies_all_stages(spark):
     out = corpus_pipeline.run(spark, DATA)
     assert out.count() > 0 and "sequence_id" in out.columns and np.isfinite(out.agg({"length": "sum"}).first()[0])
+
+
+def test_repeats_stage_takes_passages_of_more_than_50_words(spark):
+    rng = random.Random(9)
+    passages = {n: " ".join(f"{n}{rng.choice(['a', 'of', 'river'])}{i}"[-5 if n % 2 else -3 :] for i in range(n)) for n in (50, *range(51, 66))}
+    assert max(map(len, passages.values())) < 395
+    rows = [f"{sentence(rng, 20)} {n}x{k} {passages[n]} {n}y{k} {sentence(rng, 20)}" for n in passages for k in range(3)]
+    out = {r.doc_id: r for r in dict(corpus_pipeline.STAGES)["repeats"](spark, documents(spark, rows, extra=False), DATA).collect()}
+    for i, text in enumerate(rows):
+        passage = list(passages.values())[i // 3]
+        assert out[i].text == (text if i < 3 else text.replace(passage, "")) and out[i].n_chars == len(out[i].text)

@@ -253,6 +253,25 @@ def test_strip_keeps_columns_and_nulls(spark):
         assert hashlib.sha256((r.text or "").encode()).hexdigest() == digest[r.doc_id].kept_sha256
 
 
+@pytest.mark.parametrize("crowd", [6000, 2])
+def test_passages_match_all_windows_of_words(spark, crowd, monkeypatch):
+    plain = suffix_dedup.repeated_spans
+    monkeypatch.setattr(suffix_dedup, "repeated_spans", lambda t, n, code=suffix_dedup.encoded: plain(t, n, crowd, code))
+    rng = random.Random(5)
+    shared = " ".join(f"a{i}" for i in range(70)).split(" ")
+    rows = texts(3) + [f"é{sentence(rng, 9)} {(' ', chr(10))[k % 2].join(shared[k : k + 50 + k])}\t {sentence(rng, 9)}日" for k in range(6)] + ["日本語" * 60 + str(i) for i in range(2)] + ["w " * 60]
+    got = by_id(suffix_dedup.strip_repeats(documents(spark, rows), words=51))
+    raws = [(t or "").encode() for t in rows]
+    at = [[m.span() for m in re.finditer(rb"[^ \t-\r]+", r)] for r in raws]
+    windows = [[tuple(r[a:b] for a, b in w[i : i + 51]) for i in range(len(w) - 50)] for r, w in zip(raws, at)]
+    seen = Counter(x for own in windows for x in own)
+    for i, (raw, flags) in enumerate(zip(raws, covered(raws, 400))):
+        for k, x in enumerate(windows[i]):
+            if seen[x] > 1:
+                flags[at[i][k][0] : at[i][k + 50][1]] = True
+        assert (got[i].text or "").encode() == bytes(np.frombuffer(raw, np.uint8)[~flags]).decode("utf-8", "ignore").encode()
+
+
 def test_pieces_of_a_long_text_give_the_same_contexts(monkeypatch):
     rng = random.Random(8)
     raw = sentence(rng, 3000).encode()

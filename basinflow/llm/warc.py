@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut
-
 #: The RFC 4648 base32 alphabet and the revisit profile of WARC 1.1.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -80,11 +78,10 @@ def field(name: str) -> Column:
     return F.regexp_extract(F.col("header"), rf"(?:^|\n){name}: ([^\r]*)\r\n", 1)
 
 
-def read_headers(spark: SparkSession, path: str) -> DataFrame:
-    """The records of an archive as their headers state them."""
-    head = spark.read.parquet(f"{path}/headers")
+def stated(head: DataFrame) -> DataFrame:
+    """``head(header, ...)`` with what each header states."""
     return head.select(
-        "page_id", "content_key", "header",
+        "*",
         field("WARC-Type").alias("record_type"), field("WARC-Target-URI").alias("url"),
         field("X-Payload-Length").cast("long").alias("payload_bytes"),
         F.substring_index(field("WARC-Payload-Digest"), ":", -1).alias("payload_digest"),
@@ -92,6 +89,11 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
     ).withColumn("refers_to", F.regexp_extract("refers", r"page:(-?\d+)>", 1)).withColumn("refers_to", F.expr("try_cast(refers_to AS bigint)")).drop("refers")
 
 
+def read_headers(spark: SparkSession, path: str) -> DataFrame:
+    """The records of an archive as their headers state them."""
+    return stated(spark.read.parquet(f"{path}/headers").select("page_id", "content_key", "header"))
+
+
 def verified_payloads(spark: SparkSession, path: str) -> DataFrame:
     """content_key, first_id and the payload, with both digests computed anew from the stored bytes; a mismatch raises."""
     kept = spark.read.parquet(f"{path}/payloads")
@@ -109,8 +111,22 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_digest(spark: SparkSession, path: str) -> DataFrame:
-    """Per page what the archive says of it, with the digest and length of the stored, verified bytes."""
-    stored = verified_payloads(spark, path).select(F.col("checked_key").alias("content_key"), F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
-    stored = cut(stored, "verified")
-    heads = read_headers(spark, path).select("page_id", "content_key", "record_type", "refers_to")
-    return heads.join(stored, "content_key").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """Per page what its rebuilt record says, with the length and digest of the payload that is read back from it.
+
+    A response's payload is the part of the record that Content-Length gives; a revisit has none and takes that of
+    its response.  A record whose length or payload is not as its header states raises.
+    """
+    # no header has an empty line inside: line ends in URLs are encoded
+    head = F.concat(F.substring_index(F.col("record").cast("string"), CRLF + CRLF, 1), F.lit(CRLF))
+    told = stated(read_records(spark, path).select("page_id", "record", F.col("payload").alias("joined"), head.alias("header")))
+    size, start = field("Content-Length").cast("int"), F.octet_length("header") + len(CRLF)
+    own = F.substring(F.col("record"), start + 1, size)
+    back = told.select(
+        "page_id", "record_type", "refers_to", F.col("payload_bytes").alias("stated_bytes"), F.col("payload_digest").alias("stated_digest"),
+        (F.octet_length("record") == start + size + 2 * len(CRLF)).alias("fits"),
+        F.when(F.col("record_type") == "response", own).otherwise(F.col("joined")).alias("payload"),
+    )
+    back = back.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": base32_sha1(F.col("payload"))})
+    good = F.col("fits") & (F.col("payload_bytes") == F.col("stated_bytes")) & (F.col("payload_digest") == F.col("stated_digest"))
+    wrong = F.raise_error(F.concat(F.lit("record is not as its header states: "), F.coalesce(F.col("page_id").cast("string"), F.lit("no id"))))
+    return back.select("page_id", F.when(good, F.col("payload_bytes")).otherwise(wrong).alias("payload_bytes"), "payload_digest", "record_type", "refers_to")

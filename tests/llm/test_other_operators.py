@@ -155,6 +155,28 @@ def test_damage_is_found_and_empty_archives_read(spark, tmp_path):
         warc.read_records(spark, str(tmp_path / "d")).collect()
 
 
+@pytest.mark.parametrize("field, kind", [("Content-Length", "response"), ("X-Payload-Length", "revisit"), ("WARC-Payload-Digest", "revisit")])
+def test_digest_reads_the_rebuilt_records(spark, tmp_path, field, kind):
+    pages = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
+    warc.write_archive(pages, str(tmp_path / "c"))
+    spark.read.parquet(str(tmp_path / "c/payloads")).write.parquet(str(tmp_path / "d/payloads"))
+    wrong = F.regexp_replace("header", rf"\n{field}: [^\r]*", f"\n{field}: 1")
+    heads = spark.read.parquet(str(tmp_path / "c/headers"))
+    heads.withColumn("header", F.when(F.col("header").contains(f"WARC-Type: {kind}"), wrong).otherwise(F.col("header"))).write.parquet(str(tmp_path / "d/headers"))
+    with pytest.raises(Exception, match="record is not as its header states"):
+        warc.archive_digest(spark, str(tmp_path / "d")).collect()
+
+
+def test_digest_is_of_the_records_bytes(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
+    warc.write_archive(pages, str(tmp_path / "a"))
+    plain = warc.read_records
+    cut_off = lambda s, p: plain(s, p).withColumn("record", F.expr("substring(record, 1, octet_length(record) - 5)"))
+    monkeypatch.setattr(warc, "read_records", cut_off)
+    with pytest.raises(Exception, match="record is not as its header states"):
+        warc.archive_digest(spark, str(tmp_path / "a")).collect()
+
+
 # components
 
 

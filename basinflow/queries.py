@@ -578,7 +578,7 @@ def stream_daily_means(spark, sf_dir):
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_basinflow"
     path = f"{base.rstrip('/')}/stream/{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "events").schema
-    stream = ingest.grid_stream(spark, sf_dir, schema.simpleString()[7:-1].replace(":", " "), "events.parquet")
+    stream = ingest.table_stream(spark, f"{sf_dir}/events.parquet", schema.simpleString()[7:-1].replace(":", " "))
     means = ingest.windowed_means(stream, "ts", "1 day", "40 days", "event_type")
     each = lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/out")
     ingest.run_available(means, f"{path}/state", each, "complete").awaitTermination()

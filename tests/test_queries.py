@@ -3,6 +3,7 @@ import math
 import pytest
 
 from basinflow.queries import QUERIES, SQL
+from basinflow.streaming import ingest
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 DATA = "/root/testdata/sf0.001"
@@ -41,6 +42,21 @@ def test_same_as_sql(spark, duck, name):
     assert got == want
 
 
+@pytest.mark.parametrize("keys", [[], ["event_type"]])
+def test_stream_reads_a_table_that_is_a_folder(spark, tmp_path, keys):
+    query, events = QUERIES["stream_daily_means"], spark.read.parquet(f"{DATA}/events.parquet")
+    want = sorted(query(spark, DATA).collect())
+    events.repartition(3).write.partitionBy(*keys).parquet(str(tmp_path / "events.parquet"))
+    for part in [p for p in tmp_path.rglob("part-*.parquet")][:1]:  # a name without the ending
+        part.rename(part.with_suffix(""))
+    assert want and sorted(query(spark, str(tmp_path)).collect()) == want
+
+
+def test_stream_of_an_absent_table_raises(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)not.?(found|exist)"):
+        ingest.table_stream(spark, str(tmp_path / "events.parquet"), "value double")
+
+
 def test_entry_module_registers_everything(spark):
     import __spark_entry__ as entry
 

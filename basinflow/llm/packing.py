@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,6 +26,9 @@ from .common import cut, prepare, texts_of, tidy
 
 #: Partition totals are broadcast up to this many rows (16 bytes each); beyond it they are joined by shuffle.
 BROADCAST_TOTALS = 1_000_000
+#: White space in one run from which the slower tokenizer is used: the faster one's pattern recurses over such a run.
+LONG_BLANKS = 10_000
+BLANKS = re.compile(r"\s\s+")
 
 
 @lru_cache(maxsize=2)
@@ -51,13 +55,18 @@ def ranked(rank_path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def long_blanks(text: str) -> bool:
+    return len(text) >= LONG_BLANKS and any(m.end() - m.start() >= LONG_BLANKS for m in BLANKS.finditer(text))
+
+
 def encode(text: str, json_path: str, rank_path: str | None) -> list[int]:
     """Token ids of a text as ``tokenizers`` gives them.
 
     The same vocabulary as ranks gives the same ids for texts without the strings of special tokens
-    and is several times faster, so it is used for those, and ``tokenizers`` is loaded only for others.
+    and is several times faster, so it is used for those, and ``tokenizers`` is loaded only for others:
+    those, and texts with a very long run of white space, on which the faster one fails.
     """
-    if rank_path is None or any(s in text for s in special_strings(json_path)):
+    if rank_path is None or any(s in text for s in special_strings(json_path)) or long_blanks(text):
         return tokenizer(json_path).encode(text, add_special_tokens=False).ids
     return ranked(rank_path).encode_ordinary(text)
 
@@ -130,6 +139,6 @@ def pack_documents(docs: DataFrame, json_path: str, rank_path: str | None = None
 
     placed = tokens.join(totals, "part").select("doc_id", (F.col("base") + F.col("local")).alias("at"), "ids")
     return placed.mapInArrow(
-        run,
+        tidy(run),
         f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * keep_ids,
     )

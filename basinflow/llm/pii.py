@@ -1,17 +1,20 @@
 """Personal data: base patterns, and further spans chosen by boosted trees.
 
-Generators with high recall propose overlapping spans: the base patterns, telephone numbers without
-a country code, written-out e-mail addresses, cards and addresses with unusual separators.  Boosted
-trees score each proposal by its format and its context; a proposal is taken from the calibrated
-threshold of its kind on, best first, unless it overlaps one already taken.  Base matches that meet
-their checks are always taken.  The trees are fitted here on generated sentences (fixed seed), as the
-tables hold no labelled spans.
+Generators with high recall propose spans that may overlap each other and base matches: telephone
+numbers without a country code, numbers that stand next to others (where a base pattern runs over
+both and fails its check), written-out e-mail addresses, cards and addresses with unusual separators,
+and secrets such as keys and passwords.  Boosted trees score each proposal by its format and its
+context; a proposal is taken from the calibrated threshold of its kind on, best first, unless it
+overlaps one already taken or lies inside base matches.  Base matches that meet their checks are
+always taken.  The trees are fitted here on generated sentences (fixed seed), as the tables hold no
+labelled spans.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,6 +30,8 @@ from .features import platt, sigmoid
 
 #: The kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
+#: All kinds of spans; those after the first four are the method's alone.
+ALL_KINDS = (*KINDS, "secret")
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -37,20 +42,29 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
+#: Generators: kind, pattern, the group that is the span, and whether the text must have a digit.
 MORE = (
-    ("phone", re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)[\x20.-]?|[0-9]{2,4}[\x20./-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])")),
-    ("phone", re.compile(r"(?<![0-9A-Za-z])00[0-9](?:[\x20().-]{0,2}[0-9]){7,13}(?![0-9A-Za-z])")),
-    ("card", re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9A-Za-z])")),
-    ("ip", re.compile(r"(?<![0-9A-Za-z])[0-9]{1,3}(?:(?:\x20\.\x20|\[\.\])[0-9]{1,3}){3}(?![0-9A-Za-z])")),
-    ("email", re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]{1,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}(?:\x20?(?:\.|[\[(]dot[\])])\x20?[A-Za-z]{2,12}){1,3}(?![A-Za-z])", re.I)),
+    ("phone", re.compile(r"(?<![0-9A-Za-z+])(?:\([0-9]{2,4}\)[\x20.-]?|[0-9]{2,4}[\x20./-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])"), 0, True),
+    ("phone", re.compile(r"(?<![0-9A-Za-z])00[0-9](?:[\x20().-]{0,2}[0-9]){7,13}(?![0-9A-Za-z])"), 0, True),
+    ("phone", re.compile(r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){2}(?![0-9])"), 0, True),
+    ("phone", re.compile(r"\+[0-9]{1,3}[\x20.-]?\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){3}(?![0-9])"), 0, True),
+    ("card", re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/][0-9]{4}){3}(?![0-9A-Za-z])"), 0, True),
+    ("card", re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20-][0-9]{4}){3}(?![0-9])"), 0, True),
+    ("card", re.compile(r"(?<![0-9])[0-9]{13,19}(?![0-9])"), 0, True),
+    ("ip", re.compile(r"(?<![0-9A-Za-z])[0-9]{1,3}(?:(?:\x20\.\x20|\[\.\])[0-9]{1,3}){3}(?![0-9A-Za-z])"), 0, True),
+    ("email", re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]{1,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z]{2,12}){1}(?![A-Za-z])", re.I), 0, False),
+    ("email", re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]{1,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z]{2,12}){2}(?![A-Za-z])", re.I), 0, False),
+    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9])"), 0, True),
+    ("secret", re.compile(r"(?<![A-Za-z])(?:password|passwd|pwd|secret|token|api[\x20_-]?key|access[\x20_-]?key)[\"']?[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?([^\s\"']{6,200})", re.I), 1, False),
 )
 CUES = {
     "email": ("mail", "contact", "write", "reach", "address"),
     "ip": ("ip", "host", "server", "address", "from"),
     "card": ("card", "visa", "pay", "account", "debit"),
     "phone": ("phone", "tel", "call", "mobile", "fax", "cell", "whatsapp", "number"),
+    "secret": ("token", "secret", "key", "passw", "pwd", "auth", "credential", "bearer"),
 }
-AGAINST = ("isbn", "version", "page", "order", "figure", "section", "invoice", "ratio", "score", "part", "serial", "range", "date")
+AGAINST = ("isbn", "version", "page", "order", "figure", "section", "invoice", "ratio", "score", "part", "serial", "range", "date", "commit", "sha", "md5", "checksum", "etag", "uuid", "revision", "digest")
 CONTEXT = 24
 PRECISION = 0.97
 
@@ -98,11 +112,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def proposals(text: str) -> list[tuple[int, int, int]]:
     """Overlapping spans (start, kind number, end) of the further generators."""
     found = set()
-    digits = DIGIT.search(text)
-    lower_at = "at]" in text or "at)" in text or "AT]" in text or "AT)" in text or "At]" in text or "At)" in text
-    for kind, pattern in MORE:
-        if digits if kind != "email" else lower_at:
-            found.update((m.start(), KINDS.index(kind), m.end()) for m in pattern.finditer(text))
+    digits = bool(DIGIT.search(text))
+    lower = text.lower()
+    marks = {"email": any(x in lower for x in ("at]", "at)")), "secret": any(x in lower for x in ("pass", "pwd", "secret", "token", "key"))}
+    for kind, pattern, group, with_digit in MORE:
+        if digits if with_digit else marks[kind]:
+            found.update((m.start(group), ALL_KINDS.index(kind), m.end(group)) for m in pattern.finditer(text))
     return sorted(found)
 
 
@@ -111,53 +126,82 @@ def describe(text: str, start: int, kind: int, end: int) -> list[float]:
     span, before, after = text[start:end], text[max(0, start - CONTEXT) : start].lower(), text[end : end + CONTEXT].lower()
     digits = "".join(c for c in span if "0" <= c <= "9")
     groups = re.findall(r"[0-9]+", span)
+    lengths = [len(g) for g in groups] or [0]
+    cues = CUES[ALL_KINDS[kind]]
     return [
-        kind, len(span), len(digits), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
-        float(luhn(digits)) if digits else 0.0, span.count("("), span.count("."), span.count("-"), span.count(" "), span.count("/"),
-        len({c for c in span if not c.isalnum()}),
-        max((sum(c in before for c in CUES[k]) for k in (KINDS[kind],)), default=0), sum(c in after for c in CUES[KINDS[kind]]),
-        sum(c in before for c in AGAINST), float(bool(re.search(r"[0-9][\x20.,/-]?$", before))), float(bool(re.match(r"[\x20.,/-]?[0-9]", after))),
-        float(bool(re.search(r"[$€£#=:]\s?$", before))), float(all(len(g) == len(groups[0]) for g in groups)) if groups else 0.0,
-        float(bool(groups) and all(int(g[:6]) <= 255 for g in groups)), float(bool(re.search(r"(19|20)[0-9]{2}", span))),
+        kind, len(span), len(digits), len(groups), max(lengths), min(lengths), lengths[-1], lengths[0], lengths[-2] if len(lengths) > 1 else 0,
+        float(luhn(digits)) if 0 < len(digits) < 40 else 0.0, span.count("("), span.count("."), span.count("-"), span.count(" "), span.count("/"),
+        len({c for c in span if not c.isalnum()}), len(digits) / len(span), sum(c.isupper() for c in span) / len(span),
+        sum(c in "0123456789abcdefABCDEF" for c in span) / len(span), len(set(span)) / min(len(span), 40),
+        sum(c in before for c in cues), sum(c in after for c in cues), sum(c in before for c in AGAINST),
+        float(bool(re.search(r"[0-9][\x20.,/-]?$", before))), float(bool(re.match(r"[\x20.,/-]?[0-9]", after))), float(bool(re.match(r"[0-9a-z]", after))),
+        float(bool(re.search(r"[$€£#]\s?$", before))), float(bool(re.search(r"[=:]\s?[\"']?$", before))), float(bool(re.search(r"[\"']$", before))),
+        float(all(n == lengths[0] for n in lengths)), float(bool(groups) and all(int(g[:6]) <= 255 for g in groups)), float(bool(re.search(r"(19|20)[0-9]{2}", span))),
     ]
 
 
-def examples(count: int = 4000, seed: int = 11) -> tuple[list[tuple[str, int, int, int]], np.ndarray]:
-    """Generated sentences with a proposal each, and whether it is personal data."""
+SYLLABLES = "th an er on re he in ed ti es or st en at to nt ha nd ou ea ng as is it al ar le se ción ado éau ung sch ê ñ ö".split()
+
+
+def examples(count: int = 6000, seed: int = 11) -> tuple[list[tuple[str, int, int, int]], np.ndarray]:
+    """Proposals from generated sentences, and whether each is exactly a piece of personal data or a secret."""
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[rng.integers(len(xs))]
     num = lambda n: "".join(map(str, rng.integers(0, 10, n)))
-    word = lambda: "".join(pick("bcdfglmnprst") + pick("aeiou") for _ in range(rng.integers(1, 4)))
-    some = lambda: " ".join(word() for _ in range(rng.integers(1, 6)))
+    word = lambda: "".join(pick(SYLLABLES) for _ in range(rng.integers(1, 4)))
+    name = lambda: "".join(pick(SYLLABLES[:27]) for _ in range(rng.integers(1, 4)))
+    some = lambda: " ".join(word() + pick(["", "", "", ".", ",", "###"]) for _ in range(rng.integers(1, 6)))
+    hexa = lambda n: "".join(pick("0123456789abcdef") for _ in range(n))
+    mixed = lambda n: "".join(pick("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
 
     def card(sep: str, good: bool) -> str:
         body = pick("3456") + num(14)
         last = next(c for c in "0123456789" if luhn(body + c) == good)
         return sep.join((body + last)[i : i + 4] for i in range(0, 16, 4))
 
+    def phone(good: bool) -> str:
+        sep = pick(" .-")
+        if good:
+            return pick([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}{sep}{num(3)}{sep}{num(4)}", f"00{pick('123456789')} {num(3)} {num(3)} {num(3)}", f"0{num(2)}/{num(4)} {num(4)}", *[f"+{pick('1234')}{num(rng.integers(0, 2))} ({num(3)}) {num(3)}-{num(4)}"] * 3, f"+{pick('1234')} {num(3)} {num(3)} {num(4)}"])
+        return pick([f"{num(2)}.{num(3)}.{num(3)}", f"20{num(2)}-{num(4)}-{num(4)}", f"{num(4)} {num(4)} {num(4)}", f"{num(3)} {num(3)} {num(3)}", f"{num(2)}-{num(3)}-{num(3)}", f"00{num(9)}"])
+
+    def secret(good: bool) -> str:
+        if good:
+            return pick([hexa(40), hexa(32), mixed(40), mixed(24), f"AKIA{mixed(16).upper()}", f"ghp_{mixed(36)}", f"sk-{mixed(32)}", f"{word()}{num(3)}!{mixed(4)}"])
+        return pick([hexa(40), hexa(32), f"{hexa(8)}-{hexa(4)}-{hexa(4)}-{hexa(4)}-{hexa(12)}", "-".join(word() for _ in range(6)), f"{word()}/{word()}{num(4)}/{word()}{word()}{word()}", "_" * 24 + num(2), word() * 8 + num(1)])
+
     out, y = [], []
     while len(out) < count:
-        kind, good = pick(KINDS), rng.random() < 0.5
-        cue = pick(CUES[kind]) if rng.random() < (0.7 if good else 0.05) else pick(AGAINST) if rng.random() < (0.6 if not good else 0.03) else word()
-        sep = pick(" .-")
+        kind, good = pick(ALL_KINDS), rng.random() < 0.5
+        cue = pick(CUES[kind]) if rng.random() < (0.6 if good else 0.05) else pick(AGAINST) if rng.random() < (0.6 if not good else 0.0) else word()
+        join = pick([": ", " ", " is "])
         if kind == "phone":
-            span = pick([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}{sep}{num(3)}{sep}{num(4)}", f"00{pick('123456789')} {num(3)} {num(3)} {num(3)}", f"0{num(2)}/{num(4)} {num(4)}"]) if good else pick([f"{num(2)}.{num(3)}.{num(3)}", f"20{num(2)}-{num(4)}-{num(4)}", f"{num(4)} {num(4)} {num(4)}", f"{num(3)} {num(3)} {num(3)}", f"{num(2)}-{num(3)}-{num(3)}", f"00{num(9)}"])
+            span = phone(good)
         elif kind == "card":
-            span = card(pick("._/"), good)
+            span = card(pick(["._/ -"[rng.integers(5)], "", ""]), good)
         elif kind == "ip":
             parts = rng.integers(1, 255, 4) if good else rng.integers(0, 999, 4)
             span = pick([" . ", "[.]"]).join(map(str, parts))
+        elif kind == "secret":
+            span = secret(good)
+            cue = pick(["token", "secret", "password", "api_key", "access_key", "auth token", "key"]) if good else pick([*AGAINST[-8:], word(), "token", "key"])
+            join = pick([' = "', ": ", "=", ' = "', " '"]) if good else pick([" ", ": ", " is "])
+            if not good and cue in ("token", "key"):
+                span, join = word(), pick([": ", " = "])
         else:
-            span = f"{word()}{pick(['', '.', '_'])}{word()}{pick([' [at] ', '(at)', '[at]', ' (at) '])}{word()}{pick(['.', ' [dot] ', '(dot)'])}{pick(['com', 'org', 'net', 'de'])}"
+            span = f"{name()}{pick(['', '.', '_'])}{name()}{pick([' [at] ', '(at)', '[at]', ' (at) '])}{name()}{pick(['.', ' [dot] ', '(dot)'])}{pick(['com', 'org', 'net', 'de'])}"
             if not good:
-                span = f"{pick(['meet', 'look', 'stay', 'open'])} (at) {word()}. {word()}"
-        extra = "" if good or rng.random() < 0.5 else pick([" 77", "-3", "/9", ".4"])
-        text = f"{some()} {cue}{pick([': ', ' ', ' is '])}{span}{extra} {some()}"
-        at = text.index(span)
-        for s, k, e in proposals(text):
-            if s < at + len(span) and at < e and KINDS[k] == kind:
-                out.append((text, s, k, e))
-                y.append(float(good))
+                span = f"{pick(['meet', 'look', 'stay', 'open'])} (at) {name()}.{name()}"
+        close = join[-1] if join[-1] in "\"'" else ""
+        extra = pick([" 77", "-3", "/9", ".4"]) if not good and kind != "secret" and rng.random() < 0.5 else pick(["", "", "", "%%%", f" {num(3)}.{num(2)}.{num(3)}.{num(1)}", f" {num(16)}", "."]) if kind in ("phone", "card") else ""
+        lead = f"{num(pick([3, 16]))} " if kind in ("phone", "card") and rng.random() < 0.1 else ""
+        text = f"{some()} {cue}{join}{lead}{span}{close}{extra} {some()}"
+        at = text.index(span, text.index(cue + join) + len(cue + join) + len(lead))
+        truth = (at, ALL_KINDS.index(kind), at + len(span))
+        for p in proposals(text):
+            if p[0] < truth[2] and at < p[2]:
+                out.append((text, *p))
+                y.append(float(good and p == truth))
     return out, np.array(y)
 
 
@@ -178,11 +222,11 @@ def span_model() -> SpanModel:
     rows, y = examples()
     x = np.array([describe(*r) for r in rows])
     fold = np.arange(len(y)) % 5 == 4
-    model = SpanModel(boost(x[~fold], y[~fold]), 1.0, 0.0, (0.5,) * len(KINDS))
+    model = SpanModel(boost(x[~fold], y[~fold], trees=60, depth=4), 1.0, 0.0, (0.5,) * len(ALL_KINDS))
     model.scale, model.shift = platt(model.trees.logits(x[fold]), y[fold])
     p = model.probabilities(x[fold])
     limits = []
-    for kind in range(len(KINDS)):
+    for kind in range(len(ALL_KINDS)):
         own, truth = p[x[fold][:, 0] == kind], y[fold][x[fold][:, 0] == kind]
         order = np.argsort(-own)
         precise = np.cumsum(truth[order]) / np.arange(1, len(order) + 1) >= PRECISION
@@ -192,41 +236,55 @@ def span_model() -> SpanModel:
 
 
 def more_spans(text: str, taken: list[tuple[int, int, int]], model: SpanModel) -> list[tuple[int, int, int]]:
-    """Proposals from the threshold of their kind on, best first, that overlap nothing taken before."""
-    found = [p for p in proposals(text) if not any(s < p[2] and p[0] < e for s, _, e in taken)]
+    """Proposals from the threshold of their kind on, best first, that overlap none taken before and do not lie inside base spans."""
+    base = joined(taken)
+    starts = [s for s, _, _ in base]
+
+    def inside(p: tuple[int, int, int]) -> bool:
+        at = bisect_right(starts, p[0]) - 1
+        return at >= 0 and p[2] <= base[at][2]
+
+    found = [p for p in proposals(text) if not inside(p)]
     if not found:
         return []
     scores = model.probabilities(np.array([describe(text, *p) for p in found]))
-    out: list[tuple[int, int, int]] = []
-    for i in np.argsort(-scores, kind="stable"):
+    out: list[tuple[int, int, int]] = []  # sorted, none overlaps another
+    for i in np.lexsort(([p[0] - p[2] for p in found], -scores)):
         p = found[i]
-        if scores[i] >= model.thresholds[p[1]] and not any(s < p[2] and p[0] < e for s, _, e in out):
-            out.append(p)
+        if scores[i] >= model.thresholds[p[1]]:
+            at = bisect_left(out, p)
+            if (at == 0 or out[at - 1][2] <= p[0]) and (at == len(out) or p[2] <= out[at][0]):
+                insort(out, p)
     return out
 
 
 def spell(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
+    return ",".join(f"{ALL_KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
 
 
-def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
-    """The text with each span as [KIND]; overlapping spans become one of the first's kind."""
-    out, at = [], 0
+def joined(spans: list[tuple[int, int, int]]) -> list[list[int]]:
+    """The spans in order, those that overlap as one of the first's kind."""
     merged: list[list[int]] = []
     for s, k, e in sorted(spans):
         if merged and s < merged[-1][2]:
             merged[-1][2] = max(e, merged[-1][2])
         else:
             merged.append([s, k, e])
-    for s, k, e in merged:
-        out += [text[at:s], f"[{KINDS[k].upper()}]"]
+    return merged
+
+
+def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with each span as [KIND]; overlapping spans become one of the first's kind."""
+    out, at = [], 0
+    for s, k, e in joined(spans):
+        out += [text[at:s], f"[{ALL_KINDS[k].upper()}]"]
         at = e
     return "".join([*out, text[at:]])
 
 
 def find_personal_data(docs: DataFrame, redacted: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id, counts of the base spans by kind, base_sha256, spans (all), and with
-    ``redacted`` the text with every span replaced.
+    """Per row of ``docs``: doc_id, counts of the base spans by kind, base_sha256, spans (all), n_spans (of all), and
+    with ``redacted`` the text with every span replaced.
 
     Offsets count code points, ends are exclusive.  A null text is empty; no span gives an empty
     string and its digest.  Base spans of different kinds may overlap and are all reported.
@@ -240,7 +298,7 @@ def find_personal_data(docs: DataFrame, redacted: bool = False) -> DataFrame:
         model = send.value
         for b in batches:
             counts: list[list[int]] = [[] for _ in KINDS]
-            digests, spans, cleaned = [], [], []
+            digests, spans, sizes, cleaned = [], [], [], []
             for text in b.column(1).to_pylist():
                 base = base_spans(text)
                 for k, column in enumerate(counts):
@@ -248,17 +306,18 @@ def find_personal_data(docs: DataFrame, redacted: bool = False) -> DataFrame:
                 every = base + more_spans(text, base, model)
                 digests.append(hashlib.sha256(spell(base).encode()).hexdigest())
                 spans.append(spell(every))
+                sizes.append(len(every))
                 if redacted:
                     cleaned.append(redact(text, every))
-            cols = [b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string())]
-            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"]
+            cols = [b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(sizes, pa.int64())]
+            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"]
             if redacted:
                 cols.append(pa.array(cleaned, pa.string()))
                 names.append("text")
             yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string" + ", text string" * redacted)
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_spans long" + ", text string" * redacted)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:

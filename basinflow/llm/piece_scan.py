@@ -9,7 +9,9 @@ text, where a step between neighbours scores 0 if they are the encoding of what
 infinity if not.  A chunk's states are the tokens that can cover the character before its start, and
 those that can cover its last one.  Its transfer matrix holds the best score between both; matrices
 combine by the associative max-plus product (scores are 0 or minus infinity, so an entry is there or
-not), which gives the state at each bound; then each chunk is backtraced by itself between its states.
+not).  Neighbouring matrices are combined round by round, a few to a task, until a document has one;
+going back down, the states at the ends of a product give those between its factors.  Then each chunk
+is backtraced by itself between its states.  No task holds more than a few matrices or chunks.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from .common import cut, prepare, tidy
 ROWS = 128
 #: Characters from which a document is split, and of a chunk.
 GIANT, CHUNK = 65_536, 8_192
+#: Matrices that a task combines to one.
+FAN = 16
 
 
 class Pieces:
@@ -153,19 +157,75 @@ def backtrace(model: Pieces, text: str, entry: tuple[int, int], leave: tuple[int
     return out[::-1]
 
 
-def path_of(matrices: list[list[tuple[int, int, int, int]]], end: int) -> list[tuple[int, int]]:
-    """The state at each bound: products from the left say what can be reached, then the path is read from the end."""
-    reached = [{(0, 0)}]
+Matrix = list[tuple[int, int, int, int]]
+
+
+def combined(first: Matrix, second: Matrix) -> Matrix:
+    """The max-plus product of two neighbouring matrices: states that a path of score 0 joins."""
+    ahead: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for a, b, c, d in second:
+        ahead.setdefault((a, b), []).append((c, d))
+    return sorted({(a, b, *leave) for a, b, c, d in first for leave in ahead.get((c, d), ())})
+
+
+def product(matrices: list[Matrix]) -> Matrix:
+    """Neighbours combined in pairs until one matrix is left; the order of combination does not matter."""
+    while len(matrices) > 1:
+        matrices = [combined(*matrices[i : i + 2]) if i + 1 < len(matrices) else matrices[i] for i in range(0, len(matrices), 2)]
+    return matrices[0]
+
+
+def path_of(matrices: list[Matrix], entry: tuple[int, int], leave: tuple[int, int]) -> list[tuple[int, int]]:
+    """The states at all bounds of neighbouring matrices on a path between two states."""
+    reached = [{entry}]
     for m in matrices:
         reached.append({(c, d) for a, b, c, d in m if (a, b) in reached[-1]})
-    state = next(s for s in sorted(reached[-1]) if s[1] == end)
-    out = [state]
+    out, state = [leave], leave
     for m, before in zip(matrices[::-1], reached[-2::-1]):
         state = next((a, b) for a, b, c, d in m if (c, d) == state and (a, b) in before)
         out.append(state)
     return out[::-1]
 
 
+def unflat(entries: list[int]) -> Matrix:
+    return [tuple(entries[i : i + 4]) for i in range(0, len(entries), 4)]
+
+
+def state_at_bounds(matrices: DataFrame, fan: int = FAN) -> DataFrame:
+    """th, number, and the entry (a, b) and exit (c, d) of each of ``matrices(th, number, size, entries)`` on the path of its document."""
+
+    def up(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("number")
+        whole = product([unflat(x) for x in rows.column("entries").to_pylist()])
+        one = rows.slice(0, 1)
+        return pa.table({"th": one.column("th"), "number": one.column("parent"), "size": one.column("size"), "entries": pa.array([[v for x in whole for v in x]], pa.list_(pa.int64()))})
+
+    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ends = [next(x for x in unflat(e) if x[:2] == (0, 0) and x[3] == n) for e, n in zip(b.column(3).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array([x[i] for x in ends], pa.int64()) for i in range(4))], ["th", "number", *"abcd"])
+
+    def down(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("number")
+        a, b, c, d = (rows.column(x)[0].as_py() for x in "abcd")
+        path = path_of([unflat(x) for x in rows.column("entries").to_pylist()], (a, b), (c, d))
+        columns = [[x[i] for x in part] for part in (path[:-1], path[1:]) for i in range(2)]
+        return pa.table({"th": rows.column("th"), "number": rows.column("number"), **{n: pa.array(x, pa.int64()) for n, x in zip("abcd", columns)}})
+
+    parent = F.floor(F.col("number") / fan).alias("parent")
+    bounds = "th long, number long, a long, b long, c long, d long"
+    levels, count = [matrices], matrices.agg(F.max("number")).first()[0] or 0
+    while count:
+        above = levels[-1].select("*", parent).groupBy("th", "parent").applyInArrow(up, "th long, number long, size long, entries array<long>")
+        levels.append(cut(above, "products"))
+        count //= fan
+    states = levels[-1].select("th", "number", "size", "entries").mapInArrow(tidy(root), bounds)
+    for below in levels[-2::-1]:
+        ends = cut(states, "states").withColumnRenamed("number", "parent")
+        states = below.select("th", "number", "entries", parent).join(ends, ["th", "parent"]).groupBy("th", "parent").applyInArrow(down, bounds)
+    return states
+
+
 def chunk_rows(rows: DataFrame, path: str, chunk: int) -> DataFrame:
     """th, number, base (place of ``text`` in the document), text, start and stop in it, size of the document."""
 
@@ -199,13 +259,6 @@ def encode_giant(rows: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
                 flat = [v + r["base"] for x in m for v in x]
                 yield pa.RecordBatch.from_arrays([pa.array([r["th"]]), pa.array([r["number"]]), pa.array([r["size"]]), pa.array([flat], pa.list_(pa.int64()))], ["th", "number", "size", "entries"])
 
-    def states(doc: pa.Table) -> pa.Table:
-        doc = doc.sort_by("number")
-        lists = [[tuple(x[i : i + 4]) for i in range(0, len(x), 4)] for x in doc.column("entries").to_pylist()]
-        path_ = path_of(lists, doc.column("size")[0].as_py())
-        columns = [[a[0] for a in path_[:-1]], [a[1] for a in path_[:-1]], [a[0] for a in path_[1:]], [a[1] for a in path_[1:]]]
-        return pa.table({"th": doc.column("th"), "number": doc.column("number"), **{n: pa.array(c, pa.int64()) for n, c in zip(("a", "b", "c", "d"), columns)}})
-
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
         for b in batches:
@@ -215,7 +268,7 @@ def encode_giant(rows: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r["th"]]), pa.array([r["number"]]), pa.array([[i for p in got for i in model.ids_of(p)]], pa.list_(pa.int32()))], ["th", "number", "ids"])
 
     matrix = cut(parts.mapInArrow(tidy(matrices), "th long, number long, size long, entries array<long>"), "matrices")
-    bounds = matrix.groupBy("th").applyInArrow(states, "th long, number long, a long, b long, c long, d long")
+    bounds = state_at_bounds(matrix)
     ids = parts.join(bounds, ["th", "number"]).select("th", "number", "base", "text", "stop", "a", "b", "c", "d").mapInArrow(tidy(traced), "th long, number long, ids array<int>")
     joined = F.array_sort(F.collect_list(F.struct("number", "ids")))
     return ids.groupBy("th").agg(F.flatten(F.transform(joined, lambda x: x["ids"])).alias("ids"))

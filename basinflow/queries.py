@@ -572,11 +572,10 @@ def latency_summary(spark, sf_dir):
 
 @query("SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS day, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def stream_daily_means(spark, sf_dir):
-    """The events table read as a stream to its end, in windows of a day; state and results are in the warehouse folder."""
+    """The events table read as a stream to its end, in windows of a day; state and results are in the shared folder."""
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_basinflow"
-    path = f"{base.rstrip('/')}/stream/{uuid.uuid4().hex}"
+    path = f"{shared_base(spark)}/stream/{uuid.uuid4().hex}"
     schema = table(spark, sf_dir, "events").schema
     stream = ingest.table_stream(spark, f"{sf_dir}/events.parquet", schema.simpleString()[7:-1].replace(":", " "))
     means = ingest.windowed_means(stream, "ts", "1 day", "40 days", "event_type")

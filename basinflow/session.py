@@ -32,3 +32,17 @@ def session(app: str = "basinflow", master: str | None = None, **conf: str) -> S
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one that the cluster names in ``spark.checkpoint.dir``.
+
+    Only in a local session may the setting be absent: its warehouse folder is used then.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_basinflow"
+    return base.rstrip("/")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basinflow.session import importable
+from basinflow.session import importable, shared_base
 
 #: Arrow batches are bounded in rows and in bytes, so that a few very long texts do not fill a worker.
 BATCH_ROWS = 1024
@@ -42,16 +43,29 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return wrapped
 
 
+_own = threading.local()
+
+
+def folders() -> list[str]:
+    """Folders of intermediate tables that this thread has written, in order."""
+    if not hasattr(_own, "folders"):
+        _own.folders = []
+    return _own.folders
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the one that the cluster names in ``spark.checkpoint.dir``.
+    """A new folder that driver and executors share; it goes when the application ends."""
+    own = f"{shared_base(spark)}/basinflow/{spark.sparkContext.applicationId}"
+    fs, where = file_system(spark, own)
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return f"{own}/{uuid.uuid4().hex}"
 
-    Only where the setting is absent (a local session) is a folder under the warehouse used:
-    driver and executors of a local session share it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_basinflow"
-    return f"{base.rstrip('/')}/basinflow/{uuid.uuid4().hex}"
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop's file system of a path, the path)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def cut(df: DataFrame, name: str = "t") -> DataFrame:
@@ -59,9 +73,20 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
     df.write.option("compression", "zstd").parquet(path)
+    folders().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Delete the intermediate tables written from number ``since`` of :func:`folders` on, but for the last ``keep``."""
+    written = folders()
+    end = len(written) - keep
+    for path in written[since:end]:
+        fs, where = file_system(spark, path.rpartition("/")[0])
+        fs.delete(where, True)
+    del written[since:end]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

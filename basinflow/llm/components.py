@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard, folders
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -20,8 +20,9 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     components' size.  Minima are aggregated before they are joined back, so a node with very many
     neighbours costs no task more than its share; each round ends in a written table.
     """
+    spark = edges.sparkSession
     edges = cut(edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
+    before, since = None, len(folders()) - 1
     for _ in range(rounds):
         sides = both_ways(edges)
         # written first: a join with a written table can be split where one node is hot
@@ -30,6 +31,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = cut(small.where(F.col("u") != F.col("v")).distinct(), "edges")
+        discard(spark, since)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basinflow.llm import jaccard, packing, pii, quality, queries, suffix_dedup
-from basinflow.llm.common import cut, table
+from basinflow.llm.common import cut, discard, folders, table
 
 #: No SQL expresses the learned stages and the tokenizer; tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -58,7 +58,8 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), len(folders())
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), name)
+        discard(spark, since)  # all that led to this table
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -180,16 +180,22 @@ def platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(c[1] - c[0] * centre / spread)
 
 
+#: Bytes of a text that can be fitted on; with the number of rows this bounds what the driver gathers.
+SAMPLE_TEXT = 65_536
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, where=None) -> tuple[list[str], np.ndarray]:
     """Texts and labels of at most ``rows`` labelled documents: those with the smallest hashes of their ids.
 
-    Rows without a label are left out; of several labels of a document the largest counts.
+    Rows without a label are left out, and texts of more than SAMPLE_TEXT bytes are not fitted on; of several
+    labels of a document the largest counts, and of several texts the smallest.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     if where is not None:
         known = known.where(where)
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull()).select("doc_id", "text", "y").toArrow().to_pydict()
+    short = docs.select("doc_id", "text").where(F.octet_length("text") <= SAMPLE_TEXT)
+    got = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y").toArrow().to_pydict()
     order = np.argsort(np.array(got["doc_id"], dtype=object), kind="stable") if got["doc_id"] else np.zeros(0, int)
     return [got["text"][i] for i in order], np.array([got["y"][i] for i in order], float)

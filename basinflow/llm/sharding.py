@@ -168,6 +168,8 @@ def minimax_cuts(groups: DataFrame, n_shards: int = 8, first_bits: int = 14, ste
         inside = {i for a, b in open_ for i in range(a, b)}
         kept = [r for i, r in enumerate(runs) if i not in inside]
         runs = sorted(kept + fetch(groups.where(where), shift), key=lambda r: r.lo)
+    if doubtful(runs, n_shards):
+        raise RuntimeError("cuts are not settled between single groups")
     shards, _ = plan_cuts(runs, n_shards)
     return [runs[a].lo for a, _, _ in shards[1:]]
 

@@ -321,7 +321,10 @@ def find_personal_data(docs: DataFrame, redacted: bool = False) -> DataFrame:
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text, ...)`` with personal data replaced in ``text``; every other column stays, as do null texts."""
+    """``docs(doc_id, text, ...)`` with personal data replaced in ``text``; every other column stays.
+
+    Null and empty texts stay as they are; repeated rows are searched each; an empty table stays empty.
+    """
     prepare(docs.sparkSession)
     send = docs.sparkSession.sparkContext.broadcast(span_model())
     at = docs.columns.index("text")

@@ -200,7 +200,11 @@ def score_quality(docs: DataFrame, model: QualityModel, keep_from: float = KEEP_
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, keep_from: float = KEEP_FROM) -> DataFrame:
-    """The rows of ``docs(doc_id, text, ...)`` that :func:`quality_rules` keeps, with all their columns."""
+    """The rows of ``docs(doc_id, text, ...)`` that :func:`quality_rules` keeps, with all their columns.
+
+    Null and empty texts fail the base rules and go; of repeated rows each is judged and kept by itself.
+    An empty table stays empty, and without labels of both classes only the base rules count.
+    """
     prepare(docs.sparkSession)
     send = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, sample_rows))
     at = docs.columns.index("text")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import ann, jaccard, packing, piece_scan, pii, quality, sharding, suffix_dedup, toxicity, warc
 from .common import shared_dir, table
@@ -61,8 +62,24 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op1 alone, which SQL can express."""
+    return op1_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def sharding_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of the largest shard of op2, and of all."""
+    shards = op2_sharding(spark, sf_dir).groupBy("shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    return shards.agg(F.max("bytes").alias("largest"), F.sum("bytes").alias("total"), F.sum("n").alias("n"))
+
+
+def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op3's base spans."""
+    return op3_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op5_repeats, op6_toxicity, op7_nearest, op8_pieces, op9_warc, op10_jaccard)}
+    return {f.__name__: f for f in (op1_quality, op2_sharding, op3_pii, op4_packing, op5_repeats, op6_toxicity, op7_nearest, op8_pieces, op9_warc, op10_jaccard, quality_counts, sharding_balance, pii_counts)}
 
 
 NEAREST = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
@@ -99,5 +116,34 @@ sums AS (SELECT r, sum(e - s)::BIGINT AS removed, count(*) AS n FROM runs GROUP
 SELECT doc_id, d.n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(sums.n, 0) AS n_spans, sha256(unhex(t)) AS kept_sha256 FROM d JOIN kept USING (r) LEFT JOIN sums USING (r)"""
 
 
+QUALITY = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+windows AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM w)),
+twice AS (SELECT r, i FROM windows JOIN (SELECT r, k FROM windows GROUP BY r, k HAVING count(*) > 1) USING (r, k)),
+covered AS (SELECT r, count(DISTINCT i + j) AS n FROM twice, range(5) AS s(j) GROUP BY r),
+lines AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+c AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+ coalesce(lines.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words FROM w LEFT JOIN covered USING (r) LEFT JOIN lines USING (r))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c"""
+
+#: Groups of equal texts in the order of their digests; the smallest capacity is searched bit by bit, filling one shard a step.
+BALANCE = """WITH RECURSIVE g AS (SELECT ('0x' || substr(sha256(coalesce(text, '')), 1, 15))::BIGINT AS k, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS s FROM documents GROUP BY 1),
+p AS (SELECT sum(s) OVER (ORDER BY k)::BIGINT AS e FROM g), t AS (SELECT max(e) AS total FROM p),
+f AS (SELECT 1::BIGINT AS lo, total AS hi, 0 AS used, 0::BIGINT AS pos, false AS ready FROM t UNION ALL
+ SELECT CASE WHEN used = 8 AND pos < total THEN (lo + hi) // 2 + 1 ELSE lo END, CASE WHEN pos = total THEN (lo + hi) // 2 ELSE hi END,
+  CASE WHEN used = 8 OR pos = total THEN 0 ELSE used + 1 END,
+  CASE WHEN used = 8 OR pos = total THEN 0 ELSE coalesce((SELECT max(e) FROM p WHERE e <= f.pos + (f.lo + f.hi) // 2), 0) END, lo = hi
+ FROM f, t WHERE lo < hi)
+SELECT (SELECT min(hi) FROM f WHERE lo = hi) AS largest, total::BIGINT AS total, (SELECT count(*) FROM documents) AS n FROM t"""
+
+DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+LUHN = f"list_sum(list_transform(range(1, length({DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN reverse({DIGITS})[i]::INT ELSE (reverse({DIGITS})[i]::INT * 2) // 10 + (reverse({DIGITS})[i]::INT * 2) % 10 END)) % 10 = 0"
+PII = rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, len(regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')) AS n_email,
+ len(list_filter(regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda m: list_max(list_transform(string_split(m, '.'), lambda x: x::DOUBLE)) <= 255)) AS n_ip,
+ len(list_filter(regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+'), lambda m: length({DIGITS}) BETWEEN 12 AND 19 AND {LUHN})) AS n_card,
+ len(list_filter(regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), lambda m: length({DIGITS}) BETWEEN 9 AND 15)) AS n_phone FROM d"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_repeats": REPEATS, "op7_nearest": NEAREST, "op9_warc": WARC, "op10_jaccard": JACCARD}
+    return {"quality_counts": QUALITY, "sharding_balance": BALANCE, "pii_counts": PII, "op5_repeats": REPEATS, "op7_nearest": NEAREST, "op9_warc": WARC, "op10_jaccard": JACCARD}

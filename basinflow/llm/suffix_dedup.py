@@ -328,7 +328,9 @@ def strip_repeats(docs: DataFrame, length: int = 400, words: int | None = None)
 
     With ``words``, passages of that many words that start anywhere else as well are removed too, whatever
     their bytes and the white space between the words; both kinds are looked for in the texts as given.
-    A range that starts or ends inside a character takes the whole character with it.
+    A range that starts or ends inside a character takes the whole character with it.  Every row is a
+    document of its own, so repeated rows with texts that are long enough lose them, each; an empty table
+    stays empty.
     """
     prepare(docs.sparkSession)
     rows = keyed(docs.select("text")).where("text != ''").select("th", "text")

@@ -15,7 +15,10 @@ from basinflow.session import importable, shared_base
 
 #: Arrow batches are bounded in rows and in bytes, so that a few very long texts do not fill a worker.
 BATCH_ROWS = 1024
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+#: Rows that a scan decodes at once, and bytes that a writer gathers: with texts of many KB the defaults are arrays of tens of MB.
+SCAN_ROWS = 256
+WRITE_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -23,6 +26,7 @@ def prepare(spark: SparkSession) -> None:
     importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
 
 
 def release() -> None:
@@ -72,7 +76,7 @@ def cut(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there, executors may go."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", str(WRITE_BYTES)).parquet(path)
     folders().append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import prepare, texts_of, tidy
+from .common import prepare, release, texts_of, tidy
 from .features import Bytes, Rows, fit_logistic, labelled_sample, mixed, platt, sigmoid, slices, sums
 
 BITS = 17
@@ -120,6 +120,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
         batch = Bytes([t.encode() for t in held[at : at + 64]])
         z.append(model.logits(batch, batch.words()))
     model.scale, model.shift = platt(np.concatenate(z), y[fold])
+    del rows, texts, held, batch
+    release()  # the driver lives on
     return model
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, texts_of, tidy
+from .common import prepare, release, texts_of, tidy
 from .features import Bytes, Rows, fit_logistic, labelled_sample, mixed, platt, sigmoid, sums
 
 BITS = 20
@@ -178,6 +178,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_R
     model = ToxicityModel(w.astype(np.float32), b)
     model.scale, model.shift = platt(model.logits(held), y[fold])
     model.known = {}
+    del rows, grams, change, texts, held, index, ids
+    release()  # the driver lives on
     return model
 
 

@@ -11,7 +11,12 @@ classes are joined.  Two exact filters come first.
    share one of their first D + 1.  Sets that share such a shingle, directly or over others, form a
    candidate component; components of links lie inside these.
 
-The join itself runs in each candidate component (in pairs of blocks of it, where it is large).
+The join itself runs in each candidate component, in blocks of it where it is large: a block's sets are joined
+first, then one set of each group so found with those of other blocks, round by round, until a component's
+groups no longer merge.  What is left are pairs of sets of different groups; they are joined in pairs of
+blocks, but for two blocks of the largest group, and only sets with a prefix shingle of several groups
+take part.  So n copies of each other cost about n, not n^2.
+
 Index lists of prefix shingles are kept in order of set size in blocks that note their smallest
 position, so blocks whose sets are too small or whose positions leave too little overlap are skipped
 whole.  A set's candidates are derived from those of the previous set that is highly similar:
@@ -34,10 +39,8 @@ from .common import cut, prepare, release, tidy
 from .components import connected_components
 from .features import Bytes, mixed, slices
 
-#: Sets of one task of the join; larger candidate components are joined in pairs of blocks.
-TASK_SETS = 4000
-#: Sets of which the candidates are kept to derive others from; those of earlier sets are looked up again.
-KEPT_ANSWERS = 16
+#: Sets that one call of the join gets at most, about; larger candidate components are joined by blocks.
+TASK_SETS = 200
 #: Sampled shingles that a task of the first filter takes, about.
 TASK_SHINGLES = 1_000_000
 #: Text hashes of documents to read again that are broadcast (8 bytes each); beyond it they are joined by shuffle.
@@ -192,6 +195,108 @@ def summed_hits(rows: pa.Table) -> pa.Table:
     return pa.table({"batch": pa.array(np.full(len(ref), rows.column("batch")[0].as_py(), np.int64)), "ref": pa.array(ref.astype(np.int32)), "hits": pa.array(total[ref])})
 
 
+def pieces_by(keys: np.ndarray, columns: list[np.ndarray]) -> tuple[np.ndarray, list[list[bytes]]]:
+    """Each distinct key, and what each column has for it, as bytes; the order within a key stays."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    edges = np.flatnonzero(np.diff(keys, prepend=-1, append=-1)) if len(keys) else np.zeros(1, int)
+    parts = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+    return keys[edges[:-1]], [[x[s:e].tobytes() for s, e in parts] for x in (c[order] for c in columns)]
+
+
+SENT = {"batch": pa.int64(), "bucket": pa.int32(), "toks": pa.binary(), "refs": pa.binary(), "counts": pa.binary(), "cls": pa.binary(), "sizes": pa.binary()}
+
+
+def sent_sets(texts: DataFrame, k: int, buckets: int) -> DataFrame:
+    """Batches of sets: a row that stays with the batch (bucket -1), and rows that send its shingles to buckets.
+
+    The first has cls (8 bytes each) and sizes (4 bytes each) of the sets, and toks and refs (numbers of sets, 2 bytes
+    each) of shingles that several sets of the batch have.  The others have each shingle of the batch once: toks,
+    refs (65535: several) and counts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for b in batches:
+            starts, toks = shingle_sets(b.column(0).to_pylist(), k)
+            n = np.diff(starts)
+            cls = np.array([class_of(toks[s:e]) for s, e in zip(starts[:-1], starts[1:])], np.int64)
+            order = np.argsort(toks, kind="stable")
+            tok, ref = toks[order], np.repeat(np.arange(len(n)), n)[order].astype(np.uint16)
+            at = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]])) if len(tok) else np.zeros(0, int)
+            count = np.diff(np.append(at, len(tok)))
+            several = np.repeat(count, count) > 1
+            unique = tok[at]
+            bucket, blobs = pieces_by(((unique >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32), [unique, np.where(count == 1, ref[at], MANY).astype(np.uint16), count.astype(np.uint16)])
+            size = len(bucket) + 1
+            rows = [[number] * size, [-1, *bucket.tolist()], [tok[several].tobytes(), *blobs[0]], [ref[several].tobytes(), *blobs[1]], [None, *blobs[2]], [cls.tobytes()] + [None] * (size - 1), [n.astype(np.int32).tobytes()] + [None] * (size - 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, SENT.values())], list(SENT))
+            number += 1
+
+    return texts.mapInArrow(tidy(run), "batch long, bucket int, toks binary, refs binary, counts binary, cls binary, sizes binary")
+
+
+def frequencies(rows: pa.Table) -> pa.Table:
+    """Of the shingles in some buckets those that more than one set has, back to their batches: toks, refs and dfs (4 bytes each)."""
+    each = [np.frombuffer(x, np.uint64) for x in rows.column("toks").to_pylist()]
+    refs, counts = (np.concatenate([np.frombuffer(x, np.uint16) for x in rows.column(c).to_pylist()]) for c in ("refs", "counts"))
+    source = np.repeat(np.arange(len(each), dtype=np.int32), [len(x) for x in each])
+    tok = np.concatenate(each)
+    del each
+    order = np.argsort(tok, kind="stable")
+    tok, refs, counts, source = tok[order], refs[order], counts[order], source[order]
+    at = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
+    df = np.repeat(np.add.reduceat(counts.astype(np.int64), at), np.diff(np.append(at, len(tok))))
+    keep = df > 1
+    own, blobs = pieces_by(source[keep], [tok[keep], refs[keep], df[keep].astype(np.uint32)])
+    batch = rows.column("batch").to_numpy()
+    out = pa.table({"batch": pa.array(batch[own]), **{n: pa.array(x, pa.binary()) for n, x in zip(("toks", "refs", "dfs"), blobs)}})
+    release()
+    return out
+
+
+def assembled(percent: int):
+    """The sets of a batch whose prefix is not empty: cls, n, toks (those that several sets have, the rarest first) and prefix."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        def column(name: str, kind, keep: list[bool]) -> np.ndarray:
+            return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x, k in zip(rows.column(name).to_pylist(), keep) if k)])
+
+        home = [x is not None for x in rows.column("cls").to_pylist()]
+        sent = [not x for x in home]
+        cls, n = column("cls", np.int64, home), column("sizes", np.int32, home).astype(np.int64)
+        tok, ref, df = column("toks", np.uint64, sent), column("refs", np.uint16, sent), column("dfs", np.uint32, sent)
+        many, many_ref = column("toks", np.uint64, home), column("refs", np.uint16, home)
+        shared = ref == MANY
+        order = np.argsort(tok[shared], kind="stable")
+        known, known_df = tok[shared][order], df[shared][order]
+        tok, ref = np.concatenate([tok[~shared], many]), np.concatenate([ref[~shared], many_ref])
+        df = np.concatenate([df[~shared], known_df[np.searchsorted(known, many)]])
+        order = np.lexsort((tok, df, ref))
+        tok, ref = tok[order], ref[order]
+        size = np.bincount(ref, minlength=len(cls))
+        prefix = most_missing(n, percent) + 1 - (n - size)
+        able = prefix > 0
+        flat = tok[able[ref]].view(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(size[able])]).astype(np.int32)
+        out = pa.table({"cls": pa.array(cls[able]), "n": pa.array(n[able].astype(np.int32)), "toks": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), "prefix": pa.array(prefix[able].astype(np.int32))})
+        release()
+        return out
+
+    return run
+
+
+def ordered_sets(texts: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
+    """cls, n, toks and prefix of the set of each of ``texts(text)``, which have sets of their own each."""
+    sent = cut(sent_sets(texts, k, buckets), "sent")
+    out = sent.where("bucket >= 0")
+    tasks = int((out.agg(F.sum(F.octet_length("toks"))).first()[0] or 0) // (8 * TASK_SHINGLES)) + 1
+    back = out.withColumn("task", F.col("bucket") % tasks).groupBy("task").applyInArrow(frequencies, "batch long, toks binary, refs binary, dfs binary")
+    rows = sent.where("bucket < 0").select("batch", "toks", "refs", F.lit(None).cast("binary").alias("dfs"), "cls", "sizes")
+    rows = rows.unionByName(back, allowMissingColumns=True)
+    return rows.groupBy("batch").applyInArrow(assembled(percent), "cls long, n int, toks array<long>, prefix int")
+
+
 class Lists:
     """Index lists of prefix shingles: sets in order of size, in blocks with their range of positions."""
 
@@ -271,23 +376,23 @@ def join_sets(sets: list[np.ndarray], sizes: list[int], percent: int, similar: f
     ascending = [np.sort(s) for s in sets]
     prefixes: list[dict[int, int]] = []  # of each number in that order: shingle and position
     latest: dict[int, int] = {}  # the last number whose prefix has a shingle
-    answers: dict[int, tuple[int, set[int]]] = {}  # all that share a prefix shingle, up to a number; of the last few sets
+    answers: list[tuple[int, set[int]] | None] = []  # of each number: all that share a prefix shingle, up to a number
     for number, i in enumerate(order):
         size = sizes[i]
         lone = size - len(sets[i])
         head = sets[i][: max(0, most_missing(size, percent) + 1 - lone)].tolist()
         prefix = {t: lone + p for p, t in enumerate(head)}
         model = max((latest[t] for t in head if t in latest), default=None)
-        if model is not None and sizes[order[model]] == size and len(prefix.keys() & prefixes[model].keys()) >= similar * len(prefix):
-            if model not in answers:
-                answers[model] = (number, {m for t in prefixes[model] for m in lists.every(t, size, percent)})
+        answers.append(None)
+        if model is not None and len(prefix.keys() & prefixes[model].keys()) >= similar * len(prefix):
+            # the model is no larger, so whatever is large enough for this set is among its answers
+            if answers[model] is None:
+                answers[model] = (number, {m for t in prefixes[model] for m in lists.every(t, sizes[order[model]], percent)})
             upto, found = answers[model]
             found = set(found)
             for t in prefix:
                 found.update(lists.every(t, size, percent, upto if t in prefixes[model] else 0))
             answers[number] = (number, found)
-            while len(answers) > KEPT_ANSWERS:
-                del answers[next(iter(answers))]
         else:
             found = {m for t, p in prefix.items() for m in lists.find(t, size, p, percent)}
         for m in sorted(found, reverse=True):
@@ -310,11 +415,76 @@ def join_block(percent: int):
         sets = [values[offsets[i] : offsets[i + 1]] for i in range(len(cls))]
         roots = join_sets(sets, rows.column("n").to_pylist(), percent)
         pairs = [(cls[i], cls[r]) for i, r in enumerate(roots) if i != r]
+        release()
         return pa.table({"u": pa.array([a for a, _ in pairs], pa.int64()), "v": pa.array([b for _, b in pairs], pa.int64())})
 
     return run
 
 
+def joined(ordered: DataFrame, placed: DataFrame, by: list[str], percent: int) -> DataFrame:
+    """Links (u, v) that connect what is linked in each group of ``placed(cls, *by)``."""
+    return cut(placed.join(ordered, "cls").groupBy(*by).applyInArrow(join_block(percent), "u long, v long"), "links")
+
+
+def blocks_of(rows: DataFrame, by: str, name: str, size: int, seed: int) -> DataFrame:
+    """``rows(cls, by, ...)`` with a block number for each row, so that blocks of a group have about ``size`` rows."""
+    counts = rows.groupBy(by).agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
+    return rows.join(counts, by).withColumn(name, F.pmod(F.xxhash64("cls", F.lit(seed)), F.col("blocks")).cast("int")).drop("blocks")
+
+
+def starred(links: DataFrame) -> DataFrame:
+    """(node, root) of links (u, root) that each go straight to a component's root."""
+    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def joined_components(ordered: DataFrame, candidates: DataFrame, percent: int, task_sets: int) -> DataFrame:
+    """(node, root) of the components of links among ``ordered(cls, n, toks, prefix)``; ``candidates(node, root)`` are where links lie."""
+    sets = candidates.select(F.col("node").alias("cls"), F.col("root").alias("home"))
+    sets = cut(sets.join(sets.groupBy("home").agg(F.count("*").alias("members")), "home"), "members")
+    whole = starred(joined(ordered, sets.where(F.col("members") <= task_sets).select("cls", "home"), ["home"], percent))
+    # groups of a large component merge round by round, each by one of its sets
+    large = sets.where(F.col("members") > task_sets).select("cls", "home")
+    group, ahead, left, seed = large.withColumn("grp", F.col("cls")), large, large.count(), 0
+    if not left:
+        return whole
+    while left:
+        seed += 1
+        found = joined(ordered, blocks_of(ahead, "home", "block", task_sets, seed).select("cls", "home", "block"), ["home", "block"], percent)
+        group = group.join(found.select(F.col("u").alias("grp"), "v"), "grp", "left").select("cls", "home", F.coalesce("v", "grp").alias("grp"))
+        ahead = cut(ahead.join(found.select(F.col("u").alias("cls")), "cls", "left_anti"), "ahead")
+        before, left = left, ahead.count()
+        if left > before * 0.8:
+            break
+    group = cut(group, "group")
+    grouped = group.select(F.col("cls").alias("node"), F.col("grp").alias("root"))
+    # pairs of different groups: only sets that share a prefix shingle with another group's
+    heads = group.join(ordered, "cls").select("cls", "grp", F.explode(F.slice("toks", F.lit(1), F.col("prefix"))).alias("tok"))
+    heads = cut(heads, "heads")
+    mixed = cut(heads.groupBy("tok").agg(F.min("grp").alias("a"), F.max("grp").alias("b")).where("a != b").select("tok"), "mixed")
+    open_ = cut(group.join(heads.join(mixed, "tok", "left_semi").select("cls").distinct(), "cls", "left_semi"), "open")
+    if not open_.count():
+        return whole.unionByName(grouped)
+    counts = open_.groupBy("home", "grp").agg(F.count("*").alias("n"))
+    most = counts.groupBy("home").agg(F.max(F.struct("n", "grp"))["grp"].alias("most"))
+    sided = cut(open_.join(most, "home").select("cls", "home", (F.col("grp") == F.col("most")).alias("main")), "sided")
+    half = max(1, task_sets // 2)
+    main = blocks_of(sided.where("main"), "home", "own", half, 0)
+    rest = cut(blocks_of(sided.where("NOT main"), "home", "own", half, 0), "rest")
+    ranges = rest.groupBy("home").agg((F.max("own") + 1).alias("rests"))
+    bounds = cut(ranges.join(main.groupBy("home").agg((F.max("own") + 1).alias("mains")), "home"), "bounds")
+    own, each = F.col("own"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    placed = (
+        rest.join(bounds, "home").withColumn("other", each("rests")).select("cls", "home", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+        .unionByName(rest.join(bounds, "home").withColumn("b", each("mains")).select("cls", "home", own.alias("a"), (-1 - F.col("b")).alias("b")))
+        .unionByName(main.join(bounds, "home").withColumn("a", each("rests")).select("cls", "home", "a", (-1 - own).alias("b")))
+    )
+    more = joined(ordered, placed, ["home", "a", "b"], percent)
+    of = lambda end: group.select(F.col("cls").alias(end), F.col("grp").alias(f"group_{end}"))
+    between = more.join(of("u"), "u").join(of("v"), "v").select(F.col("group_u").alias("u"), F.col("group_v").alias("v")).distinct()
+    merged = cut(connected_components(between), "merged").select(F.col("node").alias("root"), F.col("root").alias("last"))
+    return whole.unionByName(grouped.join(merged, "root", "left").select("node", F.coalesce("last", "root").alias("root")))
+
+
 def linked_documents(docs: DataFrame, k: int, percent: int, task_sets: int = TASK_SETS) -> DataFrame:
     """Per row of ``docs``: doc_id, th, n, grp (the component; null without shingles) and component_id."""
     spark = docs.sparkSession
@@ -336,29 +506,12 @@ def linked_documents(docs: DataFrame, k: int, percent: int, task_sets: int = TAS
         again = F.broadcast(again)
     texts = rows.join(again, "th", "left_semi").select("text", "th").dropDuplicates(["th"]).select("text")
 
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            starts, toks = shingle_sets(b.column(0).to_pylist(), k)
-            cls = [class_of(toks[s:e]) if e > s else None for s, e in zip(starts[:-1], starts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int64()), pa.array(np.diff(starts).astype(np.int32)), pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(toks.view(np.int64)))], ["cls", "n", "toks"])
-
-    whole = cut(texts.mapInArrow(tidy(full), "cls long, n int, toks array<long>").where("cls IS NOT NULL").dropDuplicates(["cls"]), "sets")
-    each = whole.select("cls", "n", F.explode("toks").alias("tok"))
-    # written first: a join with a written table can be split where one key is hot
-    frequent = cut(each.groupBy("tok").agg(F.count("*").alias("df")).where("df > 1"), "frequent")
-    ordered = each.join(frequent, "tok").groupBy("cls", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "tok"))), lambda x: x["tok"]).alias("toks"))
-    prefix = F.col("n") - F.floor((F.lit(percent) * F.col("n") + 99) / 100).cast("int") + 1 - (F.col("n") - F.size("toks"))
-    ordered = cut(ordered.withColumn("prefix", prefix).where("prefix > 0"), "ordered")
+    ordered = cut(ordered_sets(texts, k, percent, buckets), "ordered")
     heads = ordered.select("cls", F.explode(F.slice("toks", F.lit(1), F.col("prefix"))).alias("tok"))
     leaders = cut(heads.groupBy("tok").agg(F.min("cls").alias("v"), F.count("*").alias("m")).where("m > 1").select("tok", "v"), "leaders")
     near = heads.join(leaders, "tok").select(F.col("cls").alias("u"), "v").where("u != v").distinct()
     candidates = cut(connected_components(near), "candidates")
-    sizes = candidates.groupBy("root").agg(F.count("*").alias("members")).withColumn("blocks", F.when(F.col("members") <= task_sets, 1).otherwise(F.ceil(F.col("members") / (task_sets // 2))).cast("int"))
-    placed = candidates.join(sizes, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("root", F.col("node").alias("cls"), F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-    links = placed.join(ordered, "cls").groupBy("root", "a", "b").applyInArrow(join_block(percent), "u long, v long")
-    labels = cut(connected_components(cut(links, "links")), "labels")
+    labels = cut(joined_components(ordered, candidates, percent, task_sets), "labels")
     smallest = sets.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     grouped = smallest.join(labels.withColumnRenamed("node", "cls"), "cls", "left").where("root IS NOT NULL OR copies > 1").withColumn("root", F.coalesce("root", "cls"))
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))

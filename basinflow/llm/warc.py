@@ -8,13 +8,19 @@ are rebuilt by joining the tables; both digests are checked against the stored b
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import cut
+
 #: The RFC 4648 base32 alphabet and the revisit profile of WARC 1.1.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CRLF = "\r\n"
+#: Groups of pages with equal payloads that are broadcast (about 100 bytes each); beyond it payloads are shuffled.
+BROADCAST_GROUPS = 200_000
 
 
 def base32_sha1(data: Column) -> Column:
@@ -27,20 +33,25 @@ def base32_sha1(data: Column) -> Column:
     return F.concat(*letters)
 
 
-def header_block(record_type: Column) -> Column:
+def record_id(page_id: Column, number: Column) -> Column:
+    """A record's id: the page's, and the number of its row, as page ids can repeat."""
+    return F.concat(F.lit("<urn:basinflow:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), number.cast("string"), F.lit(">"))
+
+
+def header_block(revisit: Column, date: str) -> Column:
     """The header lines of a record, without the empty line that ends them.
 
     Line ends in a URL would end the line early, so they are percent-encoded.
     """
     url = F.replace(F.replace(F.coalesce(F.col("url"), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    revisit = F.col("refers_to").isNotNull()
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     return F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
-        line("WARC-Type", record_type),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:basinflow:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))),
+        line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
+        line("WARC-Record-ID", record_id(F.col("page_id"), F.col("number"))),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", url),
-        F.when(revisit, F.concat(line("WARC-Refers-To", F.concat(F.lit("<urn:basinflow:page:"), F.col("refers_to").cast("string"), F.lit(">"))), line("WARC-Profile", F.lit(REVISIT_PROFILE)))).otherwise(F.lit("")),
+        F.when(revisit, F.concat(line("WARC-Refers-To", record_id(F.col("first_id"), F.col("first_number"))), line("WARC-Profile", F.lit(REVISIT_PROFILE)))).otherwise(F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         line("X-Payload-Length", F.col("payload_bytes").cast("string")),
         line("X-Payload-Key", F.concat(F.lit("sha256:"), F.col("content_key"))),
@@ -49,29 +60,37 @@ def header_block(record_type: Column) -> Column:
     )
 
 
-def write_archive(pages: DataFrame, path: str, min_payload: int = 0) -> None:
-    """Write ``pages(page_id, url, html)`` to an archive in ``path``.
+def write_archive(pages: DataFrame, path: str, min_payload: int = 0, date: str | None = None) -> None:
+    """Write ``pages(page_id, url, html)`` to an archive in ``path``; ``date`` is that of the records (now, if not given).
 
     Of the records with equal payloads of at least ``min_payload`` bytes the one with the smallest
     page_id is the response and the others revisit it; smaller payloads are all responses.  A null
     html is an empty payload, a null url an empty target.  Of rows with the same page_id and payload
-    one is the response, and the others revisit that id.  Null ids come after all others.
+    one is the response, and the others revisit that id.  Null ids come after all others.  An empty
+    table gives an archive without records; other columns are ignored.
+
+    Groups of equal payloads are found by digests alone; payloads go from the scan to the archive.
     """
     spark = pages.sparkSession
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id"), F.col("url"), body.alias("payload"))
-    # one row a payload: copies meet already in the map tasks, so a hot page costs one row a task
-    keyed = rows.select("page_id", "payload", F.sha2("payload", 256).alias("content_key"))
-    firsts = keyed.groupBy("content_key").agg(F.min("page_id").alias("first_id"), F.first("payload").alias("payload"))
-    firsts.select("content_key", "first_id", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest")).write.option("compression", "zstd").parquet(f"{path}/payloads")
-    stored = spark.read.parquet(f"{path}/payloads").select("content_key", "first_id", "payload_bytes", "payload_digest")
-    narrow = pages.select("page_id", "url", F.sha2(body, 256).alias("content_key"))
-    joined = narrow.join(stored, "content_key")
-    small = F.col("payload_bytes") < min_payload
-    other = ~F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("first_id").isNotNull()
-    typed = joined.withColumn("refers_to", F.when(~small & other, F.col("first_id")))
-    kind = F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")
-    typed.select("page_id", "content_key", header_block(kind).alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
+    key = F.sha2(body, 256).alias("content_key")
+    # written first: the numbers of the rows are fixed then
+    narrow = pages.select("page_id", "url", key, F.octet_length(body).cast("long").alias("payload_bytes"), base32_sha1(body).alias("payload_digest"))
+    narrow = cut(narrow.withColumn("number", F.monotonically_increasing_id()), "narrow")
+    ids = narrow.groupBy("content_key", "page_id").agg(F.count("*").alias("same"), F.min("number").alias("number"))
+    firsts = ids.groupBy("content_key").agg(F.min(F.struct(F.col("page_id").isNull().alias("late"), "page_id", "same", "number")).alias("one"), F.sum("same").alias("n"))
+    firsts = cut(firsts.where("n > 1").select("content_key", F.col("one.page_id").alias("first_id"), "one.same", F.col("one.number").alias("first_number")), "firsts")
+    revisit = F.col("first_number").isNotNull() & (F.col("number") != F.col("first_number")) & (F.col("payload_bytes") >= min_payload)
+    headers = narrow.join(firsts, "content_key", "left").select("page_id", "content_key", header_block(revisit, date).alias("header"))
+    headers.write.option("compression", "zstd").parquet(f"{path}/headers")
+    groups, repeated = firsts.agg(F.count("*"), F.count(F.when(F.col("same") > 1, 1))).first()
+    marked = pages.select("page_id", body.alias("payload"), key).join(F.broadcast(firsts) if groups <= BROADCAST_GROUPS else firsts, "content_key", "left")
+    first = F.col("page_id").eqNullSafe(F.col("first_id"))
+    stored = marked.where(F.col("first_number").isNull() | first & (F.col("same") == 1)).select("content_key", "payload")
+    if repeated:  # rows with the same id and payload: any of them
+        stored = stored.unionByName(marked.where(first & (F.col("same") > 1)).select("content_key", "payload").dropDuplicates(["content_key"]))
+    stored.withColumn("payload_digest", base32_sha1(F.col("payload"))).write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def field(name: str) -> Column:
@@ -86,7 +105,7 @@ def stated(head: DataFrame) -> DataFrame:
         field("X-Payload-Length").cast("long").alias("payload_bytes"),
         F.substring_index(field("WARC-Payload-Digest"), ":", -1).alias("payload_digest"),
         F.nullif(field("WARC-Refers-To"), F.lit("")).alias("refers"),
-    ).withColumn("refers_to", F.regexp_extract("refers", r"page:(-?\d+)>", 1)).withColumn("refers_to", F.expr("try_cast(refers_to AS bigint)")).drop("refers")
+    ).withColumn("refers_to", F.regexp_extract("refers", r"page:(-?\d+):\d+>", 1)).withColumn("refers_to", F.expr("try_cast(refers_to AS bigint)")).drop("refers")
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
@@ -95,7 +114,7 @@ def read_headers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def verified_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """content_key, first_id and the payload, with both digests computed anew from the stored bytes; a mismatch raises."""
+    """content_key and the payload, with both digests computed anew from the stored bytes; a mismatch raises."""
     kept = spark.read.parquet(f"{path}/payloads")
     good = (F.sha2("payload", 256) == F.col("content_key")) & (base32_sha1(F.col("payload")) == F.col("payload_digest"))
     return kept.withColumn("checked_key", F.when(good, F.col("content_key")).otherwise(F.raise_error(F.concat(F.lit("payload does not match its digest: "), F.col("content_key")))))

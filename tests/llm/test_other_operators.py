@@ -45,6 +45,28 @@ def test_nearest_matches_brute_force_with_ties(spark):
     assert all(abs(g[3] - vectors[g[0]] @ vectors[g[2]]) < 1e-9 for g in got)
 
 
+@pytest.mark.parametrize("block", [64 << 20, 1 << 17])
+def test_recall_above_the_size_of_the_pilot(spark, block, monkeypatch):
+    """More rows than PILOT * 64 * k, so that a pilot runs; clustered vectors of several lengths, and small blocks."""
+    monkeypatch.setattr(ann, "BLOCK_BYTES", block)
+    rng = np.random.default_rng(4)
+    vectors = (rng.normal(size=(40, 70))[rng.integers(0, 40, 11_000)] + 0.5 * rng.normal(size=(11_000, 70))) * rng.uniform(0.5, 2, (11_000, 1))
+    vectors = vectors.astype(np.float32).astype(float)
+    ids = rng.permutation(11_000)
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(table(spark, ids, vectors), 20, 200).collect()}
+    want = {(g[0], g[2]) for g in nearest(ids, vectors, 20, 200)}
+    assert len(got) == len(want) == 55 * 20 and len(got & want) >= 0.99 * len(want)
+
+
+def test_products_of_packed_bits_are_within_their_error():
+    rng = np.random.default_rng(7)
+    for dim in (3, 64, 70, 130):
+        signs, q = rng.random((50, dim)) < 0.5, rng.normal(size=(9, dim))
+        got, error = ann.signs_times(ann.words(np.packbits(signs, axis=1)), q)
+        want = (signs * 2.0 - 1) @ q.T
+        assert (abs(got - want) <= error + 1e-4).all() and error.max() < 0.1 * dim
+
+
 def test_unusable_vectors_take_no_part(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]), (20, [0.0, 0.0]), (40, [2.0, 1.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0, 3.0]), (8, [])]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
@@ -95,11 +117,33 @@ def test_random_texts_over_chunks(model_path):
             part = whole[base : stop + model.longest]
             matrices.append([tuple(v + base for v in m) for m in piece_scan.transfer(model, part, start - base, stop - base)])
             parts.append((base, part, stop - base))
-        states = piece_scan.path_of(matrices, len(whole)) if matrices else []
+        states = []
+        if matrices:
+            total = piece_scan.product(matrices)
+            left = matrices[0]
+            for m in matrices[1:]:
+                left = piece_scan.combined(left, m)
+            assert sorted(total) == sorted(left)  # whatever the order of combination
+            end = next(x for x in total if x[:2] == (0, 0) and x[3] == len(whole))
+            states = piece_scan.path_of(matrices, (0, 0), end[2:])
         got = [p for (base, part, stop), a, b in zip(parts, states, states[1:]) for p in piece_scan.backtrace(model, part, (a[0] - base, a[1] - base), (b[0] - base, b[1] - base), stop)]
         assert [i for p in got for i in model.ids_of(p)] == model.model.encode(text)
 
 
+@pytest.mark.parametrize("fan", [2, 16])
+def test_giant_documents_are_combined_in_rounds(spark, model_path, fan, monkeypatch):
+    monkeypatch.setattr(piece_scan, "state_at_bounds", lambda m, f=piece_scan.state_at_bounds: f(m, fan))
+    rng = random.Random(3)
+    rows = [sentence(rng, 6000), sentence(rng, 30), "x" * 5000, sentence(rng, 2000) + " é日" * 50]
+    got = {r.doc_id: r.ids for r in piece_scan.encode_documents(documents(spark, rows), model_path, giant=1000, chunk=512).collect()}
+    assert got == {i: piece_scan.pieces(model_path).model.encode(t) for i, t in enumerate(rows)}
+
+
+def test_no_documents_no_pieces(spark, model_path):
+    none = piece_scan.encode_documents(documents(spark, []), model_path)
+    assert none.count() == 0 and piece_scan.encoding_digest(none, model_path).count() == 0 and piece_scan.decode_documents(none, model_path).count() == 0
+
+
 def test_digest(spark, model_path):
     rows = [None, "", "river flow"]
     got = {r.doc_id: r for r in piece_scan.encoding_digest(piece_scan.encode_documents(documents(spark, rows), model_path), model_path).collect()}
@@ -136,6 +180,23 @@ def test_archive_rebuilds_records(spark, tmp_path):
     assert spark.read.parquet(f"{path}/payloads").count() == 4
 
 
+def test_records_have_dates_and_ids_of_their_own(spark, tmp_path, monkeypatch):
+    pages = spark.createDataFrame(PAGES + PAGES[:2] * 3 + [(None, "n", "only"), (None, "n", "none"), (None, "n", "none")], "page_id bigint, url string, html string")
+    for path, few in (("f", 200_000), ("g", 0)):
+        monkeypatch.setattr(warc, "BROADCAST_GROUPS", few)
+        warc.write_archive(pages, str(tmp_path / path), date="2024-05-06T07:08:09Z")
+        heads = [dict(x.split(": ", 1) for x in r.header.split("\r\n")[1:-1]) for r in warc.read_headers(spark, str(tmp_path / path)).collect()]
+        assert len({h["WARC-Record-ID"] for h in heads}) == len(heads) == 16 and {h["WARC-Date"] for h in heads} == {"2024-05-06T07:08:09Z"}
+        ids = {h["WARC-Record-ID"]: h for h in heads}
+        for h in heads:
+            if h["WARC-Type"] == "revisit":
+                home = ids[h["WARC-Refers-To"]]
+                assert home["WARC-Type"] == "response" and home["X-Payload-Key"] == h["X-Payload-Key"]
+        assert sum(h["WARC-Type"] == "response" for h in heads) == 5 == spark.read.parquet(str(tmp_path / path / "payloads")).count()
+        out = warc.archive_digest(spark, str(tmp_path / path)).collect()
+        assert sorted(r.record_type for r in out if r.page_id == 3) == ["response"] + ["revisit"] * 3 and len(out) == 16
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     pages = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
     warc.write_archive(pages, str(tmp_path / "b"), min_payload=1)

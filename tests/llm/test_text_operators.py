@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -159,6 +160,7 @@ def test_personal_data_columns(spark):
     assert (got[0].n_email, got[0].n_ip, got[0].n_card, got[0].n_phone) == (1, 1, 1, 1)
     assert got[0].base_sha256 == hashlib.sha256(base.encode()).hexdigest() and set(base.split(",")) <= set(got[0].spans.split(","))
     assert got[0].text == "mail é@x [EMAIL] or [PHONE], [IP]; [CARD]"
+    assert [got[i].n_spans for i in range(4)] == [4, 0, 0, 1]
     assert got[1].spans == got[2].spans == "" and got[1].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[3].n_phone == 0 and got[3].spans.startswith("phone:5:") and got[3].text == "call [PHONE] now"
     out = pii.redact_documents(documents(spark, rows))
@@ -166,12 +168,48 @@ def test_personal_data_columns(spark):
 
 
 def test_span_model_separates_its_examples():
-    rows, y = pii.examples(1500, seed=99)
+    rows, y = pii.examples(2500, seed=99)
     model = pii.span_model()
     x = np.array([pii.describe(*r) for r in rows])
     p = model.probabilities(x)
     taken = np.array([q >= model.thresholds[int(k)] for q, k in zip(p, x[:, 0])])
-    assert y[taken].mean() > 0.93 and taken[y > 0].mean() > 0.7
+    assert y[taken].mean() > 0.93 and taken[y > 0].mean() > 0.85
+
+
+HEX = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+PLANTED = [
+    (f'the river token = "{HEX}" rises', HEX), (f"api_key: {HEX}", HEX), ("Thing +1 (826) 555-4081 190.137.223.204 du", "+1 (826) 555-4081"),
+    ("paid 7536784127813050 4845168114407329 today", "4845168114407329"), ("call (555) 123-4567 now", "(555) 123-4567"), ("write to jane.doe [at] example [dot] org please", "jane.doe [at] example [dot] org"),
+    ("from host 10[.]20[.]30[.]40 again", "10[.]20[.]30[.]40"), ("card 4111.1111.1111.1111 ends", "4111.1111.1111.1111"),
+]
+CLEAN = ["see commit 04dbebab91ab85687d33eeaaf9ac699e1188f962 there", "sha 04dbebab91ab85687d33eeaaf9ac699e11", "paid 9807915762804490 today", "section 12.345.678 page 9", "a token of thanks: nothing", "version 20.21.22 of a-b-c-d-e-f-g-h-i-j-k-l-m-n"]
+
+
+def more(text, model=None):
+    return [text[s:e] for s, _, e in pii.more_spans(text, pii.base_spans(text), model or pii.span_model())]
+
+
+def test_planted_spans_are_found_and_clean_texts_left_alone():
+    assert [t for t, want in PLANTED if want not in more(t)] == [] and [t for t in CLEAN if more(t)] == []
+
+
+def test_trees_decide():
+    """With one and the same score for all proposals, clean texts are hit, or nothing is."""
+    model = pii.span_model()
+    flat = pii.SpanModel(pii.Boosted(0.0, []), model.scale, model.shift, model.thresholds)
+    lax, strict = (pii.SpanModel(flat.trees, 1.0, 0.0, (limit,) * len(pii.ALL_KINDS)) for limit in (0.5, 0.51))
+    assert any(more(t, lax) for t in CLEAN) and not any(more(t, strict) for t, _ in PLANTED)
+
+
+def test_proposals_may_overlap_base_spans_and_never_each_other():
+    text = "x 4111 1111 1111 1111 4845168114407329 +1 (826) 555-4081 190.137.223.204 +1 (826) 555-4081"
+    found = pii.more_spans(text, pii.base_spans(text), pii.span_model())
+    assert all(a[2] <= b[0] for a, b in zip(found, found[1:])) and found == sorted(found)
+
+
+def test_many_proposals_take_linear_time():
+    text = " ".join(f"call ({i % 900 + 100}) 555-{i % 9000 + 1000} now" for i in range(30_000))
+    assert len(pii.more_spans(text, pii.base_spans(text), pii.span_model())) > 20_000
 
 
 def test_long_runs_take_linear_time():
@@ -216,6 +254,33 @@ def test_packing_rebuilds_every_document(spark):
         assert at == 1024 or s == max(filled)
 
 
+@pytest.fixture(scope="module")
+def tokenizer_paths():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", " \n\t", "\u3000\x85 "])
+def test_very_long_blanks_are_encoded(tokenizer_paths, blank):
+    text = f"before{blank * (2_000_000 // len(blank))}after"
+    want = packing.tokenizer(tokenizer_paths[0]).encode(text, add_special_tokens=False).ids
+    assert packing.encode(text, *tokenizer_paths) == want
+
+
+def test_both_tokenizers_agree_on_random_text(tokenizer_paths):
+    rng = random.Random(12)
+    bits = [" ", "  ", "\n", "\t", "\u3000", "\x85", "\x1c", "a", "é", "日", "٣", "²", "'s", "'LL", "!?", "\U0001f600", "e\u0301", "\u200b", "\xa0", "word", "123", " " * 50, "\n" * 9_999]
+    for _ in range(400):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 60)))
+        assert packing.ranked(tokenizer_paths[1]).encode_ordinary(text) == packing.tokenizer(tokenizer_paths[0]).encode(text, add_special_tokens=False).ids
+
+
+def test_a_document_of_blanks_is_packed(spark, tokenizer_paths):
+    pieces = packing.pack_documents(documents(spark, [" " * 1_200_000, "end"]), *tokenizer_paths).collect()
+    assert {p.doc_id: p.doc_tokens for p in pieces} == {0: len(packing.tokenizer(tokenizer_paths[0]).encode(" " * 1_200_000, add_special_tokens=False).ids) + 1, 1: 2}
+
+
 # 5: repeated byte strings
 
 
@@ -243,6 +308,19 @@ def test_repeats_match_all_windows(spark, crowd, monkeypatch):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (len(raw), int(flags.sum()), runs, hashlib.sha256(kept).hexdigest())
 
 
+def test_planted_passages_of_400_bytes_and_more_are_all_caught(spark):
+    """Each planted passage goes from each document, whatever stands around it; texts without one stay whole."""
+    rng = random.Random(31)
+    shared = {n: sentence(rng, 200).encode()[:n].decode() for n in (400, 401, 450, 700)}
+    rows = [f"{sentence(rng, 30)}{k}|{shared[n]}|{k}{sentence(rng, 30)}" for n in shared for k in "xyz"]
+    almost = sentence(rng, 200)[:397]  # with the bars 399 bytes
+    clean = [f"{sentence(rng, 30)}{k}|{almost}|{k}{sentence(rng, 30)}" for k in "xyz"] + [sentence(rng, 300) for _ in range(5)]
+    got = by_id(suffix_dedup.remove_repeats(documents(spark, rows + clean)))
+    # the bars on both sides are shared as well
+    assert [got[i].n_removed for i in range(12)] == [n + 2 for n in shared for _ in range(3)]
+    assert all(got[i].n_removed == 0 for i in range(12, 20))
+
+
 def test_strip_keeps_columns_and_nulls(spark):
     docs = documents(spark)
     out = suffix_dedup.strip_repeats(docs)
@@ -318,6 +396,39 @@ def test_labels_of_held_out_rows_do_not_matter(spark):
     assert {i: r.score for i, r in by_id(toxicity.toxicity(docs, marks)).items()} == {i: r.score for i, r in by_id(toxicity.toxicity(docs, other)).items()}
 
 
+def plain_score(model, text):
+    """The score of a text by loops over its words and their n-grams."""
+    total = 0.0
+    for w in toxicity.words_of(text):
+        row = toxicity.word_rows([w])
+        total += sum(float(model.weights[c]) for c in row.cols.tolist())
+        assert len(row.cols) == 1 + sum(max(0, len(w.encode()) + 2 - n + 1) for n in toxicity.ORDERS)
+    return 1 / (1 + math.exp(-(model.scale * (model.bias + total) + model.shift)))
+
+
+def test_penalty_on_identity_swaps(spark):
+    """A term that goes with the label moves the score without the penalty, and hardly with it; scores are as plain loops give them."""
+    rng = random.Random(8)
+    rows, toxic = [], []
+    for i in range(800):
+        bad = i % 3 == 0
+        term = rng.choice(("muslim", "women")) if rng.random() < (0.7 if bad else 0.05) else rng.choice(("christian", "men")) if rng.random() < 0.3 else ""
+        rows.append(f"{sentence(rng, 15)} {term} {rng.choice(('idiot', 'scum', 'moron')) if bad and rng.random() < 0.8 else ''} {sentence(rng, 5)}")
+        toxic.append(int(bad))
+    docs = documents(spark, rows, extra=False)
+    marks = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic)], "doc_id bigint, quality int, toxic int")
+    gap = {}
+    for penalty in (0.0, 1.0):
+        model = toxicity.fit_toxicity(docs, marks, penalty=penalty)
+        pairs = [(f"the {a} met here", f"the {b} met here") for a, b in (("muslim", "christian"), ("women", "men"))]
+        gap[penalty] = max(abs(x - y) for x, y in (model.logits(list(p)) for p in pairs))
+        insult = model.scores(["the scum and the idiot met here", "the river met here"])
+        assert insult[0] > 0.3 > insult[1]
+        probe = [*rows[:20], "", "É straße scum", "the muslim women"]
+        assert np.allclose(model.scores(probe), [plain_score(model, t) for t in probe], atol=1e-6)
+    assert gap[1.0] < 0.35 * gap[0.0]
+
+
 # 10: Jaccard join
 
 
@@ -343,7 +454,7 @@ def shingles(text, k):
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
 
 
-@pytest.mark.parametrize("k,percent,task", [(3, 90, 4000), (5, 80, 4), (2, 50, 4000)])
+@pytest.mark.parametrize("k,percent,task", [(3, 90, 200), (5, 80, 4), (2, 50, 200), (2, 50, 3)])
 def test_jaccard_components_match_all_pairs(spark, k, percent, task):
     rows = texts(7) + ["one", "ONE", "two words", "two Words x"]
     sets = [shingles(t, k) for t in rows]
@@ -392,7 +503,7 @@ def test_empty_tables(spark):
     json_path = public_tokenizers.path("byte_bpe_50k.json")
     for df in (
         quality.quality_rules(docs, marks), sharding.shard_documents(docs), pii.find_personal_data(docs), packing.pack_documents(docs, json_path),
-        suffix_dedup.remove_repeats(docs), toxicity.toxicity(docs, marks), jaccard.jaccard_components(docs), jaccard.keep_one(docs), suffix_dedup.strip_repeats(docs),
+        quality.keep_good(docs, marks), pii.redact_documents(docs), suffix_dedup.strip_repeats(docs, words=51), suffix_dedup.remove_repeats(docs), toxicity.toxicity(docs, marks), jaccard.jaccard_components(docs), jaccard.keep_one(docs), suffix_dedup.strip_repeats(docs),
     ):
         assert df.count() == 0
 

@@ -246,7 +246,8 @@ def repeated_spans(texts: DataFrame, length: int, task_contexts: int = TASK_CONT
     anchors = found.groupBy("akey").agg(F.count("*").alias("n"), F.min("ckey").alias("a"), F.max("ckey").alias("b")).where("n > 1")
     # written first: a join with a written table can be split where one key is hot
     anchors = cut(anchors.select("akey", (F.col("a") == F.col("b")).alias("alike")), "anchors")
-    shared = cut(found.join(anchors, "akey"), "shared")
+    # by shuffle at every size, so that small tables show how large ones behave
+    shared = cut(found.join(anchors.hint("merge"), "akey"), "shared")
     whole = shared.where("alike").select("th", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     # distinct contexts, each with one place to read it
     kinds = shared.where("NOT alike").groupBy("akey", "ckey").agg(F.count("*").alias("copies"), F.min(F.struct("th", "low", F.expr(f"high + {length} AS end"), F.expr("at - low AS anchor"))).alias("one"))

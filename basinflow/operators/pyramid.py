@@ -99,6 +99,23 @@ def at_zoom(levels: DataFrame, zoom_grain: DataFrame, zoom: int) -> DataFrame:
     return levels.join(F.broadcast(one), "grain")
 
 
+def layer(rows: DataFrame, **at: int) -> DataFrame:
+    """lat_idx, lon_idx, value of the cells with the given index in each named column; filters reach the scan."""
+    for name, index in at.items():
+        rows = rows.where(F.col(name) == F.lit(index))
+    return rows.select(*CELL, F.col("value").cast("double").alias("value"))
+
+
+def block_axis(axis: DataFrame, grain: int, size: int) -> DataFrame:
+    """The axis (idx, coord) of a grain's blocks: the coordinate of each block's first cell."""
+    if grain == 1:
+        return axis.select("idx", "coord")
+    s = offset(grain)
+    number = ((F.col("idx") - s) / grain).cast("int")
+    inside = (F.col("idx") >= s) & ((F.col("idx") - s) % grain == 0) & (number < (size - s) // grain)
+    return axis.where(inside).select(number.alias("idx"), "coord")
+
+
 def profile_mean(levels: DataFrame, keys: Sequence[str] = ("time", "category", "profile", "grain")) -> DataFrame:
     """The mean over all cells of each time, category, depth and grain."""
     return levels.groupBy(*keys).agg(F.avg("value").alias("value"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import time as clock
+import warnings
 from collections import OrderedDict
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from basinflow.functions.colours import palette_png
 from basinflow.functions.names import iso, resolved_times, stems
-from basinflow.operators import tiles
+from basinflow.operators import pyramid, tiles
 from basinflow.sinks import folder_entries, write_bytes
 from basinflow.sources.documents import read_index, read_meta
 
@@ -63,13 +64,17 @@ class TileEngine:
     def __init__(self, spark: SparkSession, root: str, resolution: int = 256) -> None:
         self.spark, self.root, self.resolution = spark, root.rstrip("/"), resolution
         self.metas, self.images = Fifo(1), Fifo(50)
+        self.stems: dict[str, str] = {}  # by variable, until the caches are cleared
 
     def stem(self, variable: str) -> str:
+        if variable in self.stems:
+            return self.stems[variable]
         index = read_index(self.spark, f"{self.root}/index.json").first()
         asked = self.spark.createDataFrame([(variable,)], "variable string")
         found = stems(asked, folder_entries(self.spark, self.root), index and index[0]).first()
         if found is None or found.stem is None:
             raise FileNotFoundError(f"no pyramid for {variable} in {self.root}")
+        self.stems[variable] = found.stem
         return found.stem
 
     def meta(self, variable: str) -> dict:
@@ -113,10 +118,7 @@ class TileEngine:
             if not 0 <= value < size:
                 raise IndexError(f"{name} {value} is out of range 0..{size - 1}")
         rows = self.spark.read.parquet(f"{self.root}/{meta['stem']}/levels")
-        rows = rows.where((F.col("grain") == self.grain(variable, z)) & (F.col("time_idx") == index) & (F.col("category") == category))
-        if meta["profile_dim"]:
-            rows = rows.where(F.col("profile") == profile)
-        return rows.select("lat_idx", "lon_idx", F.col("value").cast("double").alias("value"))
+        return pyramid.layer(rows, grain=self.grain(variable, z), time_idx=index, category=category, **({"profile": profile} if meta["profile_dim"] else {}))
 
     def grain(self, variable: str, z: int) -> int:
         return (self.meta(variable)["grain_map"] or {}).get(str(z), 1)
@@ -173,6 +175,7 @@ class TileEngine:
         return zooms.join(sizes, "grain", "left").select("zoom", "grain", F.col("lat").alias("n_lat"), F.col("lon").alias("n_lon")).orderBy("zoom")
 
     def clear_cache(self) -> None:
+        self.stems.clear()
         self.metas.entries.clear()
         self.images.entries.clear()
 
@@ -180,22 +183,38 @@ class TileEngine:
         return {"status": "ok", "cached_tiles": len(self.images.entries), "cached_pyramids": len(self.metas.entries)}
 
 
-def application(engine: TileEngine):
-    """The engine as a WSGI application: /tiles, /pyramid/info, /pyramid/time, /cache/clear, /health."""
+def application(engine: TileEngine, saved: str | None = None):
+    """The engine as a WSGI application: /tiles, /test/save_tile, /pyramid/info, /pyramid/time, /cache/clear, /health.
+
+    ``/test/save_tile`` writes the image of a tile (in global mode unless told otherwise) to the folder ``saved``.
+    """
     from urllib.parse import parse_qs, unquote
 
     def answer(environ, start):
         parts = [unquote(p) for p in environ["PATH_INFO"].strip("/").split("/")]
         query = {k: v[-1] for k, v in parse_qs(environ.get("QUERY_STRING", "")).items()}
         status, kind, began = "200 OK", "application/json", clock.time()
+        if "level" in query:
+            warnings.warn("the parameter level is no longer used; profile names the depth", DeprecationWarning, stacklevel=2)
+
+        def asked(parts: list[str], mode: str) -> Request:
+            limits = {k: float(query[k]) for k in ("vmin", "vmax") if k in query}
+            flags = {k: query[k].lower() == "true" for k in ("tms", "cache") if k in query}
+            texts = {"mode": mode} | {k: query[k] for k in ("colormap", "mode") if k in query}
+            return Request(parts[0], parts[1], *map(int, parts[2:]), profile=int(query.get("profile", 0)), **limits, **flags, **texts)
+
         try:
             if parts[0] == "tiles" and len(parts) == 7 and parts[6].endswith(".png"):
                 kind = "text/plain"  # of an error
-                limits = {k: float(query[k]) for k in ("vmin", "vmax") if k in query}
-                flags = {k: query[k].lower() == "true" for k in ("tms", "cache") if k in query}
-                texts = {k: query[k] for k in ("colormap", "mode") if k in query}
-                request = Request(parts[1], parts[2], int(parts[3]), int(parts[4]), int(parts[5]), int(parts[6][:-4]), profile=int(query.get("profile", 0)), **limits, **flags, **texts)
-                body, kind = engine.tile_png(request), "image/png"
+                body, kind = engine.tile_png(asked([*parts[1:6], parts[6][:-4]], "regional")), "image/png"
+            elif parts[:2] == ["test", "save_tile"] and len(parts) == 8:
+                kind = "text/plain"
+                request = asked(parts[2:], "global")
+                if engine.bounds(request).isEmpty():
+                    status, body = "404 Not Found", b"the tile lies outside the data"
+                else:
+                    path = f"{saved or engine.root + '/saved'}/test_tile_{request.z}_{request.x}_{request.y}.png"
+                    body = f"{engine.save_tile(request, path)} bytes saved to {path}".encode()
             elif parts[:2] == ["pyramid", "info"] and len(parts) == 3:
                 meta = engine.meta(parts[2])
                 body = json.dumps({"zooms": meta["zooms"], "data_bounds": meta["data_bounds"], "files": meta["files"], "levels": [r.asDict() for r in engine.pyramid_info(parts[2]).collect()]}).encode()

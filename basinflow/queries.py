@@ -17,6 +17,7 @@ from basinflow import grid as G
 from basinflow import sinks
 from basinflow.functions import names
 from basinflow.operators import probability, pyramid, tiles, zonal
+from basinflow.session import shared_base
 from basinflow.sources import catalogue, documents
 from basinflow.streaming import ingest
 
@@ -533,7 +534,7 @@ def bundle_names(spark, sf_dir):
 
 @query(f"WITH {RASTER} SELECT i AS lat_idx, j AS lon_idx, round(v, 4) AS value FROM fcst WHERE t = 3 AND e = 2")
 def level_slice(spark, sf_dir):
-    return forecast(spark, sf_dir).where("time = 3 AND ensemble = 2").select("lat_idx", "lon_idx", r4())
+    return pyramid.layer(forecast(spark, sf_dir), time=3, ensemble=2).select("lat_idx", "lon_idx", r4())
 
 
 @query(f"WITH {RASTER} SELECT y AS year, t AS month, count(*) AS cells, count(v) AS valid FROM raster WHERE y IN (1996, 1997, 2000) GROUP BY y, t")

@@ -15,9 +15,12 @@ from basinflow.sources.arrays import bundle_bytes
 
 
 def write_grid(grid: DataFrame, path: str, by: Sequence[str] = ("variable", "init_date"), mode: str = "overwrite") -> None:
-    """Values as float, partitioned; rows sorted by cell so that windows of cells skip row groups."""
+    """Values as float, partitioned; rows sorted by cell so that windows of cells skip row groups.
+
+    Ranges of (partition, cell) go to tasks, so a large layer is written by many and a small one by one.
+    """
     out = grid.withColumn("value", F.col("value").cast("float"))
-    out = out.repartition(*by).sortWithinPartitions(*by, "lat_idx", "lon_idx") if by else out
+    out = out.repartitionByRange(*by, "lat_idx", "lon_idx").sortWithinPartitions(*by, "lat_idx", "lon_idx") if by else out
     writer = out.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
@@ -38,13 +41,29 @@ def read_basin_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, key: str = "time") -> None:
-    """Merge a wide table into the one at ``path``; written beside it first, as it is read meanwhile."""
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    at, beside = spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".new")
+    """Merge a wide table into the one at ``path``.
+
+    The merged table is written beside it, as it is read meanwhile; then the old one is renamed away, the new one takes
+    its place, and only then the old one goes.  After a failure between the renames the old table is beside its place,
+    and the next call puts it back first.
+    """
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    at, beside, old = (Path(path.rstrip("/") + end) for end in ("", ".new", ".old"))
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def rename(a, b) -> None:
+        if not fs.rename(a, b):
+            raise OSError(f"{a} could not be renamed to {b}")
+
+    if fs.exists(old) and not fs.exists(at):
+        rename(old, at)
+    fs.delete(old, True)
     existing = spark.read.parquet(path) if fs.exists(at) else None
     upserted(existing, new, key).write.mode("overwrite").parquet(beside.toString())
-    fs.delete(at, True)
-    fs.rename(beside, at)
+    if existing is not None:
+        rename(at, old)
+    rename(beside, at)
+    fs.delete(old, True)
 
 
 def write_index(spark: SparkSession, tag: str, path: str) -> None:

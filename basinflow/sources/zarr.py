@@ -9,14 +9,14 @@ from __future__ import annotations
 import gzip
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from basinflow.grid import clean
+from basinflow.grid import clean, combine
 
 #: Index columns of the dimensions that grids name otherwise.
 INDEX_NAMES = {"lat": "lat_idx", "lon": "lon_idx", "north_south": "lat_idx", "east_west": "lon_idx"}
@@ -125,3 +125,8 @@ def read_variable(spark: SparkSession, root: str, variable: str) -> DataFrame:
         if "time" in times.columns:
             grid = grid.join(times.withColumnRenamed("idx", "time_idx").select("time_idx", "time"), "time_idx").drop("time_idx")
     return grid
+
+
+def read_stores(spark: SparkSession, roots: Sequence[str], variable: str) -> DataFrame:
+    """One variable of several groups as one grid: the outer union of what they hold; KeyError for a group without it."""
+    return combine([read_variable(spark, root, variable) for root in roots])

@@ -82,6 +82,9 @@ def test_sinks(spark, tmp_path):
     first = spark.createDataFrame([("a", 1.0)], "time string, x double")
     sinks.upsert_table(spark, first, str(tmp_path / "t"))
     sinks.upsert_table(spark, spark.createDataFrame([("b", 2.0)], "time string, y double"), str(tmp_path / "t"))
+    (tmp_path / "t").rename(tmp_path / "t.old")  # as after a failure between the renames
+    sinks.upsert_table(spark, spark.createDataFrame([("b", 2.0)], "time string, y double"), str(tmp_path / "t"))
+    assert not (tmp_path / "t.old").exists() and not (tmp_path / "t.new").exists()
     assert {r.time: (r.x, r.y) for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {"a": (1.0, None), "b": (None, 2.0)}
     table = spark.createDataFrame([(1, 2, 62, 0.5), (1, 1, 62, 0.25), (1, 1, 63, None)], "time int, ensemble int, pfaf_id int, Qs_tavg double")
     sinks.write_basin_csv(table, str(tmp_path / "csv"))

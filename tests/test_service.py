@@ -65,6 +65,42 @@ def test_routes(engine):
     assert json.loads(call(app, "/health")[2])["cached_tiles"] == 0
 
 
+def test_saved_tiles_and_the_old_parameter(engine, tmp_path):
+    app = application(engine, str(tmp_path))
+    with pytest.warns(DeprecationWarning):
+        status, kind, body = call(app, "/test/save_tile/Streamflow_tavg/0/0/4/0/0", "mode=regional&level=3")
+    assert status.startswith("200") and kind == "text/plain" and (tmp_path / "test_tile_4_0_0.png").read_bytes().startswith(b"\x89PNG")
+    assert call(app, "/test/save_tile/Streamflow_tavg/0/0/4/0/0")[0].startswith("404")  # global: outside
+    assert call(app, "/test/save_tile/Streamflow_tavg/0/9/4/0/0", "mode=regional")[0].startswith("500")
+
+
+def test_a_run_is_published_and_served(spark, tmp_path):
+    """From grids by the batch run to the folder of the engine, and tiles from there: every tile of two zooms."""
+    key = "variable string, profile int, time timestamp, ensemble int, lat_idx int, lon_idx int, value double"
+    day = lambda y, m: dt.datetime(y, m, 28)
+    make = lambda years: spark.createDataFrame([(v, p, day(y, m), e, i, j, float(1 + i + j + e + y % 7 + m)) for v, ps in (("Rainf_tavg", [None]), ("SoilMoist_inst", [0, 1])) for p in ps for y in years for m in (4, 5) for e in (1, 2, 3) for i in range(4) for j in range(4)], key)
+    zones = spark.createDataFrame([(62, 0, 0)], "pfaf_id int, lat_idx int, lon_idx int")
+    got = batch.run(make(range(2001, 2006)), make([2026]), zones, [1, 2], 4, 4)
+    lat, lon = (spark.createDataFrame([(i, a + i) for i in range(4)], "idx int, coord double") for a in (-10.0, -60.0))
+    stems = batch.publish_pyramids(spark, got.levels, {4: 2, 5: 1}, lat, lon, str(tmp_path), "2026_apr")
+    assert stems == ["2026_apr_tercile_prob_max_Rainf_tavg", "2026_apr_tercile_prob_max_SoilMoist_inst"]
+    engine = TileEngine(spark, str(tmp_path), resolution=4)
+    meta = engine.meta("SoilMoist_inst")
+    assert meta["profile_length"] == 2 and meta["time_len"] == 2 and meta["category_len"] == 3 and meta["data_bounds"] == {"lon_min": -60.0, "lon_max": -57.0, "lat_min": -10.0, "lat_max": -7.0}
+    want = {(r.lat_idx, r.lon_idx): r.value for r in got.levels.where("variable = 'SoilMoist_inst' AND profile = 1 AND grain = 1 AND month(time) = 5 AND category = 2").collect()}
+    cells = {(r.lat_idx, r.lon_idx): r.value for r in engine.level_slice("SoilMoist_inst", 5, "2026-05-28", 2, 1).collect()}
+    assert cells.keys() == want.keys() and all(cells[k] == pytest.approx(v, rel=1e-6) if v is not None else cells[k] is None for k, v in want.items())
+    pixels = {(r.row, r.col): r.value for r in engine.tile(Request("SoilMoist_inst", 1, 2, 5, 0, 0, profile=1)).collect()}
+    assert len(pixels) == 16 and set(pixels.values()) <= set(cells.values()) | {None}
+    app = application(engine)
+    for z, n in ((4, 2), (5, 4)):
+        info = next(x for x in json.loads(call(app, "/pyramid/info/Rainf_tavg")[2])["levels"] if x["zoom"] == z)
+        assert (info["n_lat"], info["n_lon"]) == (n, n)
+        for x in range(2):
+            for y in range(2):
+                assert call(app, f"/tiles/Rainf_tavg/0/0/{z}/{x}/{y}.png")[2].startswith(b"\x89PNG")
+
+
 def test_fifo_lets_the_oldest_go():
     cache = Fifo(2)
     for k in "abc":

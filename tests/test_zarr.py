@@ -41,3 +41,13 @@ def test_missing_arrays_and_coordinates(spark, tmp_path):
     store(tmp_path, "lat", np.array([-20.0, -19.5, -19.0]), [2], ["lat"], None, bytes)
     assert [r.coord for r in Z.read_coordinate(spark, str(tmp_path / "lat")).orderBy("idx").collect()] == [-20.0, -19.5, -19.0]
     assert Z.decoded_times([24], "hours since 2026-01-01T00:00:00")[0].day == 2
+
+
+def test_several_stores_are_one_grid(spark, tmp_path):
+    for number, start in enumerate((0.0, 30.0)):
+        store(tmp_path / str(number), "Qs", np.full((1, 2, 2), float(number + 1)), [1, 2, 2], ["time", "lat", "lon"], None, bytes)
+        store(tmp_path / str(number), "time", np.array([start]), [1], ["time"], None, bytes, units="days since 2026-04-01")
+    rows = Z.read_stores(spark, [str(tmp_path / "0"), str(tmp_path / "1")], "Qs").collect()
+    assert sorted((r.time.month, r.value) for r in rows) == [(4, 1.0)] * 4 + [(5, 2.0)] * 4
+    with pytest.raises(KeyError):
+        Z.read_stores(spark, [str(tmp_path / "0"), str(tmp_path / "none")], "Qs")

@@ -283,8 +283,8 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def find_personal_data(docs: DataFrame, redacted: bool = False) -> DataFrame:
-    """Per row of ``docs``: doc_id, counts of the base spans by kind, base_sha256, spans (all), n_spans (of all), and
-    with ``redacted`` the text with every span replaced.
+    """Per row of ``docs``: doc_id, counts of the base spans by kind, base_sha256, spans (all of personal data), secrets
+    (spans of keys and passwords), n_spans (of both), and with ``redacted`` the text with every span replaced.
 
     Offsets count code points, ends are exclusive.  A null text is empty; no span gives an empty
     string and its digest.  Base spans of different kinds may overlap and are all reported.
@@ -298,26 +298,27 @@ def find_personal_data(docs: DataFrame, redacted: bool = False) -> DataFrame:
         model = send.value
         for b in batches:
             counts: list[list[int]] = [[] for _ in KINDS]
-            digests, spans, sizes, cleaned = [], [], [], []
+            digests, spans, secrets, sizes, cleaned = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 base = base_spans(text)
                 for k, column in enumerate(counts):
                     column.append(sum(x[1] == k for x in base))
                 every = base + more_spans(text, base, model)
                 digests.append(hashlib.sha256(spell(base).encode()).hexdigest())
-                spans.append(spell(every))
+                spans.append(spell([x for x in every if x[1] < len(KINDS)]))
+                secrets.append(spell([x for x in every if x[1] >= len(KINDS)]))
                 sizes.append(len(every))
                 if redacted:
                     cleaned.append(redact(text, every))
-            cols = [b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(sizes, pa.int64())]
-            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"]
+            cols = [b.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(secrets, pa.string()), pa.array(sizes, pa.int64())]
+            names = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "secrets", "n_spans"]
             if redacted:
                 cols.append(pa.array(cleaned, pa.string()))
                 names.append("text")
             yield pa.RecordBatch.from_arrays(cols, names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, n_spans long" + ", text string" * redacted)
+    return rows.mapInArrow(tidy(run), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string, secrets string, n_spans long" + ", text string" * redacted)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:

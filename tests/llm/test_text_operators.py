@@ -131,6 +131,8 @@ def test_plan_of_runs_is_minimax():
 
 # 3: personal data
 
+HEX = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+
 
 def plain_spans(t):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
@@ -154,13 +156,14 @@ def test_base_spans_match_the_patterns():
 
 
 def test_personal_data_columns(spark):
-    rows = ["mail é@x bob.b@mail.example.com or +1 (555) 010-9999, 10.0.0.1; 4111 1111 1111 1111", None, "", "call (555) 123-4567 now"]
+    rows = ["mail é@x bob.b@mail.example.com or +1 (555) 010-9999, 10.0.0.1; 4111 1111 1111 1111", None, "", "call (555) 123-4567 now", f'the token = "{HEX}" goes']
     got = by_id(pii.find_personal_data(documents(spark, rows), redacted=True))
     base = pii.spell(plain_spans(rows[0]))
     assert (got[0].n_email, got[0].n_ip, got[0].n_card, got[0].n_phone) == (1, 1, 1, 1)
     assert got[0].base_sha256 == hashlib.sha256(base.encode()).hexdigest() and set(base.split(",")) <= set(got[0].spans.split(","))
     assert got[0].text == "mail é@x [EMAIL] or [PHONE], [IP]; [CARD]"
-    assert [got[i].n_spans for i in range(4)] == [4, 0, 0, 1]
+    assert [got[i].n_spans for i in range(5)] == [4, 0, 0, 1, 1]
+    assert got[4].spans == "" and got[4].secrets == "secret:13:53" and got[4].text == 'the token = "[SECRET]" goes'
     assert got[1].spans == got[2].spans == "" and got[1].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert got[3].n_phone == 0 and got[3].spans.startswith("phone:5:") and got[3].text == "call [PHONE] now"
     out = pii.redact_documents(documents(spark, rows))
@@ -176,7 +179,6 @@ def test_span_model_separates_its_examples():
     assert y[taken].mean() > 0.93 and taken[y > 0].mean() > 0.85
 
 
-HEX = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
 PLANTED = [
     (f'the river token = "{HEX}" rises', HEX), (f"api_key: {HEX}", HEX), ("Thing +1 (826) 555-4081 190.137.223.204 du", "+1 (826) 555-4081"),
     ("paid 7536784127813050 4845168114407329 today", "4845168114407329"), ("call (555) 123-4567 now", "(555) 123-4567"), ("write to jane.doe [at] example [dot] org please", "jane.doe [at] example [dot] org"),

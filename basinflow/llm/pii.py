@@ -54,7 +54,7 @@ MORE = (
     ("ip", re.compile(r"(?<![0-9A-Za-z])[0-9]{1,3}(?:(?:\x20\.\x20|\[\.\])[0-9]{1,3}){3}(?![0-9A-Za-z])"), 0, True),
     ("email", re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]{1,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z]{2,12}){1}(?![A-Za-z])", re.I), 0, False),
     ("email", re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9][A-Za-z0-9._-]{1,40}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{2,40}(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z]{2,12}){2}(?![A-Za-z])", re.I), 0, False),
-    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9])"), 0, True),
+    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9])"), 0, True),
     ("secret", re.compile(r"(?<![A-Za-z])(?:password|passwd|pwd|secret|token|api[\x20_-]?key|access[\x20_-]?key)[\"']?[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?([^\s\"']{6,200})", re.I), 1, False),
 )
 CUES = {

@@ -184,7 +184,7 @@ PLANTED = [
     ("paid 7536784127813050 4845168114407329 today", "4845168114407329"), ("call (555) 123-4567 now", "(555) 123-4567"), ("write to jane.doe [at] example [dot] org please", "jane.doe [at] example [dot] org"),
     ("from host 10[.]20[.]30[.]40 again", "10[.]20[.]30[.]40"), ("card 4111.1111.1111.1111 ends", "4111.1111.1111.1111"),
 ]
-CLEAN = ["see commit 04dbebab91ab85687d33eeaaf9ac699e1188f962 there", "sha 04dbebab91ab85687d33eeaaf9ac699e11", "paid 9807915762804490 today", "section 12.345.678 page 9", "a token of thanks: nothing", "version 20.21.22 of a-b-c-d-e-f-g-h-i-j-k-l-m-n"]
+CLEAN = ["see commit 04dbebab91ab85687d33eeaaf9ac699e1188f962 there", "sha 04dbebab91ab85687d33eeaaf9ac699e11", "paid 9807915762804490 today", "section 12.345.678 page 9", "a token of thanks: nothing", "étreai iertionieroupamenteux x", "cigall | losasmentementemente | uejad", "version 20.21.22 of a-b-c-d-e-f-g-h-i-j-k-l-m-n"]
 
 
 def more(text, model=None):
@@ -216,6 +216,7 @@ def test_many_proposals_take_linear_time():
 
 def test_long_runs_take_linear_time():
     assert pii.base_spans("a" * 200_000) == [] and pii.base_spans("1" * 200_000) == [] and pii.base_spans("a@" * 50_000) == []
+    assert pii.proposals("a" * 400_000 + " 1") == pii.proposals("a-" * 200_000 + " 1") == []
 
 
 def test_boosted_trees_fit_an_interaction():
